@@ -452,7 +452,10 @@ def profile_table(
     timestamps: Sequence[str] = (),
     token_columns: Sequence[str] = (),
 ) -> DataFrame:
-    """The whole profile as one long table."""
+    """The whole profile as one long table.
+
+    Each section scans the columns it needs, so hand in a written table rather than a long lineage.
+    """
     numbers = columns_with_role(df, ROLE_NUMBER, timestamps)
     categories = columns_with_role(df, ROLE_CATEGORY, timestamps)
     sections = [

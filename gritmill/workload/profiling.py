@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gritmill.operators import profiling as prof
 from gritmill.operators.cleaning import add_calendar
-from gritmill.session import fresh_path
+from gritmill.session import fresh_path, materialise
 from gritmill.sources.tables import read_report, save_report
 from gritmill.workload.registry import query
 from gritmill.workload.views import FACT_COLUMNS, FACT_SQL, fact, long_sql, table
@@ -327,6 +327,7 @@ def correlation_pairs(spark, sf):
 def profile_table_long(spark, sf):
     """Every section of the profile of labelled order lines."""
     source = fact(spark, sf).select("Severity", "high_severity", "Start_Time", "End_Time", *NUMBERS, *CATEGORIES, "Stop")
+    source = materialise(source, "profiled")
     return prof.profile_table(source, "high_severity", ["Start_Time", "End_Time"], TEXTS)
 
 
