@@ -1 +1,168 @@
-"""Placeholder."""
+"""Training and comparing classifiers on labelled documents."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gritmill.operators import evaluating as evaluate
+from gritmill.operators import features as feat
+from gritmill.operators import training as fit
+from gritmill.operators.profiling import class_shares
+from gritmill.operators.splitting import balance_classes, key_split
+from gritmill.plans.feature_plan import Encoding, FeaturePlan, Interaction, RegexFlag
+from gritmill.session import fresh_path, materialise
+from gritmill.sources.tables import load_model, save_model
+from gritmill.workload.registry import query
+from gritmill.workload.views import doc_quality, table
+
+LABEL = "quality"
+DOC_PLAN = FeaturePlan(
+    target=LABEL,
+    flags=(
+        RegexFlag("text", "has_link", "https?://|www"),
+        RegexFlag("text", "has_digits", "[0-9]{3,}"),
+        RegexFlag("text", "has_noise", "[#$%*&]{2,}"),
+        RegexFlag("text", "has_license", "license|copyright"),
+    ),
+    interactions=(Interaction("n_chars", "n_lines", "ratio"),),
+    encodings=(Encoding("lang", "string_index_ohe"), Encoding("source", "string_index_only")),
+    scaling="standard",
+    scaled=("n_chars",),
+    keys=("doc_id", "toxic"),
+)
+# Small grids: the point of the queries is the path, not the score.
+GRIDS = {
+    "LogisticRegression": {"regParam": [0.01], "elasticNetParam": [0.0], "maxIter": [50]},
+    "RandomForestClassifier": {"numTrees": [20], "maxDepth": [5], "minInstancesPerNode": [2]},
+    "GBTClassifier": {"maxIter": [5], "maxDepth": [3], "stepSize": [0.1]},
+    "LinearSVC": {"regParam": [0.01], "maxIter": [20]},
+}
+
+
+def vectors(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Balanced training vectors and untouched test vectors."""
+    docs = doc_quality(spark, sf).withColumn("n_lines", F.size(F.split("text", "\n")))
+    train, test = key_split(docs, ["doc_id"], 70)
+    train, test, fitted = feat.apply_plan(train, test, DOC_PLAN)
+    ready = [feat.assemble(part, fitted.features, keep=["doc_id", LABEL]) for part in (train, test)]
+    train = balance_classes(materialise(ready[0], "train_vectors"), LABEL, ["doc_id"])
+    return train, materialise(ready[1], "test_vectors")
+
+
+def train_one(spark, sf, name):
+    train, test = vectors(spark, sf)
+    return fit.train_classifier(train, name, LABEL, GRIDS[name]), train, test
+
+
+def _held_out(spark, sf, name):
+    trained, _, test = train_one(spark, sf, name)
+    auc = fit.held_out_auc(trained, test, LABEL)
+    return test.agg(F.lit(name).alias("model"), F.lit(auc).alias("auc"), F.count(F.lit(1)).alias("test_rows"))
+
+
+@query("train_logistic_regression")
+def train_logistic_regression(spark, sf):
+    return _held_out(spark, sf, "LogisticRegression")
+
+
+@query("train_random_forest")
+def train_random_forest(spark, sf):
+    return _held_out(spark, sf, "RandomForestClassifier")
+
+
+@query("train_boosted_trees")
+def train_boosted_trees(spark, sf):
+    return _held_out(spark, sf, "GBTClassifier")
+
+
+@query("train_linear_svc")
+def train_linear_svc(spark, sf):
+    return _held_out(spark, sf, "LinearSVC")
+
+
+@query("cross_validated_grid")
+def cross_validated_grid(spark, sf):
+    """Three folds over a grid; a setting the model lacks is skipped and named."""
+    train, test = vectors(spark, sf)
+    grid = {"regParam": [0.001, 0.1], "maxIter": [20], "noSuchSetting": [1]}
+    trained = fit.train_classifier(train, "LogisticRegression", LABEL, grid)
+    best = fit.best_settings(trained, test).withColumn("auc", F.lit(fit.held_out_auc(trained, test, LABEL)))
+    return best.withColumn("skipped", F.lit(",".join(trained.unknown_settings)))
+
+
+@query("feature_importances")
+def feature_importances(spark, sf):
+    trained, train, _ = train_one(spark, sf, "RandomForestClassifier")
+    return fit.feature_importances(trained, train)
+
+
+@query("strongest_features")
+def strongest_features(spark, sf):
+    trained, train, _ = train_one(spark, sf, "LogisticRegression")
+    return fit.strongest_features(fit.feature_importances(trained, train), 5)
+
+
+@query("model_reloaded_scores")
+def model_reloaded_scores(spark, sf):
+    """A saved model scores the test rows as the fitted one does."""
+    trained, _, test = train_one(spark, sf, "GBTClassifier")
+    path = fresh_path(spark, "model")
+    save_model(trained.model, path)
+    again = load_model(spark, path)
+    parts = []
+    for source, model in (("fitted", trained.model), ("loaded", again)):
+        scored = fit.score(model, test)
+        parts.append(
+            scored.agg(
+                F.lit(source).alias("source"),
+                F.count(F.lit(1)).alias("n"),
+                F.round(F.sum(evaluate.positive_score(scored)), 6).alias("score_sum"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("positive_scores")
+def positive_scores(spark, sf):
+    """Probability where the model has one, margin otherwise."""
+    parts = []
+    train, test = vectors(spark, sf)
+    for name in ("LogisticRegression", "LinearSVC"):
+        scored = fit.train_classifier(train, name, LABEL, GRIDS[name]).model.transform(test)
+        parts.append(
+            scored.select("doc_id", F.lit(name).alias("model"), F.round(evaluate.positive_score(scored), 4).alias("score"))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("model_leaderboard")
+def model_leaderboard(spark, sf):
+    """Train all models, evaluate them on the test split, and decide."""
+    train, test = vectors(spark, sf)
+    reports = {}
+    for name, grid in GRIDS.items():
+        scored = fit.train_classifier(train, name, LABEL, grid).model.transform(test)
+        reports[name] = evaluate.evaluate(scored, LABEL, evaluate.positive_score(scored))
+    board = materialise(evaluate.leaderboard(reports), "leaderboard")
+    decision = fit.next_action(fit.pick_winner(board, "model", "auc_roc"), iteration=1)
+    return board.join(F.broadcast(decision), board["model"] == decision["winner"], "left").drop("winner", "winner_auc")
+
+
+@query("mllib_evaluator_areas")
+def mllib_evaluator_areas(spark, sf):
+    trained, _, test = train_one(spark, sf, "LogisticRegression")
+    return evaluate.mllib_areas(fit.score(trained.model, test), LABEL)
+
+
+@query(
+    "label_balance",
+    """
+    WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1)
+    SELECT quality, n, round(n * 100.0 / (SELECT sum(n) FROM c), 5) AS percentage FROM c
+    """,
+)
+def label_balance(spark, sf):
+    return class_shares(table(spark, sf, "labels"), LABEL)
