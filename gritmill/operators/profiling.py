@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
-from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gritmill.functions.columns import band, col, known_double, missing, pearson, share
+from gritmill.functions.columns import band, col, known_double, missing, share
 from gritmill.functions.rows import rows_from
 from gritmill.operators.joining import with_total
 from gritmill.operators.ranking import ROWS_PER_RANGE, quantiles
@@ -67,7 +68,7 @@ FINE_IMBALANCE_ADVICE = {
 RARE_CLASS_SHARE = 0.10
 HIGH_CORRELATION = 0.85
 NEAR_DUPLICATE = 0.95
-PAIRS_PER_PASS = 120
+ROUNDING_NOISE = 1e-12
 
 ROLE_TIMESTAMP, ROLE_DERIVED, ROLE_FLAG = "timestamp", "time_derived", "boolean"
 ROLE_NUMBER, ROLE_CATEGORY = "numerical", "categorical"
@@ -141,13 +142,29 @@ def missing_profile(df: DataFrame) -> DataFrame:
 # --- numbers -------------------------------------------------------------------------------------
 
 
+def _central_moments(sums: DataFrame, middles: Sequence[float]) -> DataFrame:
+    """Mean, sample deviation, skewness and excess kurtosis per column from sums of powers about a middle."""
+    moments: dict[str, Column] = {}
+    for i, middle in enumerate(middles):
+        n = F.col(f"n{i}").cast("double")
+        a1, a2, a3, a4 = (F.try_divide(F.col(f"s{k}_{i}"), n) for k in (1, 2, 3, 4))
+        m2 = F.greatest(a2 - a1 * a1, F.lit(0.0))
+        m3 = a3 - a1 * a2 * 3 + F.pow(a1, F.lit(3)) * 2
+        m4 = a4 - a1 * a3 * 4 + a1 * a1 * a2 * 6 - F.pow(a1, F.lit(4)) * 3
+        moments[f"mean{i}"] = a1 + F.lit(middle)
+        moments[f"std{i}"] = F.sqrt(F.try_divide(m2 * n, n - 1))
+        moments[f"skew{i}"] = F.try_divide(m3, F.pow(m2, F.lit(1.5)))
+        moments[f"kurt{i}"] = F.try_divide(m4, m2 * m2) - 3
+    return sums.withColumns(moments)
+
+
 def numeric_profile(
     df: DataFrame, columns: Sequence[str], rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Moments, quartiles, outliers, shape and imputation advice per numeric column.
 
-    Three passes whatever the number of columns: value counts for the exact quartiles, then one aggregate
-    that takes the moments and counts the values outside the fences.
+    Three passes whatever the number of columns: two for the exact quartiles, then one aggregate of plain
+    sums. The sums are of distances from the middle of the quartiles, so large values lose no digits.
     """
     quartiles = {
         r["measure"]: (r["q0"], r["q1"])
@@ -156,20 +173,23 @@ def numeric_profile(
     aggregates: list[Column] = []
     for i, c in enumerate(columns):
         value = known_double(df, c)
-        low, high = quartiles.get(c, (None, None))
-        reach = OUTLIER_FENCE * (high - low) if low is not None else 0.0
+        low, high = quartiles.get(c, (0.0, 0.0))
+        reach = OUTLIER_FENCE * (high - low)
         outside = (value < low - reach) | (value > high + reach) if reach else F.lit(False)
+        centred = value - F.lit((low + high) / 2)
+        square = centred * centred
         aggregates += [
-            F.avg(value).alias(f"mean{i}"),
-            F.stddev(value).alias(f"std{i}"),
+            F.count(value).alias(f"n{i}"),
+            F.count_if(value.isNull()).alias(f"gap{i}"),
             F.min(value).alias(f"min{i}"),
             F.max(value).alias(f"max{i}"),
-            F.skewness(value).alias(f"skew{i}"),
-            F.kurtosis(value).alias(f"kurt{i}"),
             F.count_if(outside).alias(f"out{i}"),
-            F.count_if(value.isNull()).alias(f"gap{i}"),
+            F.sum(centred).alias(f"s1_{i}"),
+            F.sum(square).alias(f"s2_{i}"),
+            F.sum(square * centred).alias(f"s3_{i}"),
+            F.sum(square * square).alias(f"s4_{i}"),
         ]
-    moments = df.agg(*aggregates)
+    moments = _central_moments(df.agg(*aggregates), [sum(quartiles.get(c, (0.0, 0.0))) / 2 for c in columns])
 
     def rounded(name: str) -> Column:
         return F.round(F.coalesce(F.col(name), F.lit(0.0)), 4)
@@ -183,8 +203,8 @@ def numeric_profile(
                 "std": rounded(f"std{i}"),
                 "min": rounded(f"min{i}"),
                 "max": rounded(f"max{i}"),
-                "q25": F.lit(quartiles.get(c, (None, None))[0]).cast("double"),
-                "q75": F.lit(quartiles.get(c, (None, None))[1]).cast("double"),
+                "q25": F.lit(quartiles[c][0] if c in quartiles else None).cast("double"),
+                "q75": F.lit(quartiles[c][1] if c in quartiles else None).cast("double"),
                 "skewness": rounded(f"skew{i}"),
                 "kurtosis": rounded(f"kurt{i}"),
                 "outlier_count": F.col(f"out{i}"),
@@ -389,24 +409,66 @@ def target_profile(df: DataFrame, label: str, fine: bool = False) -> DataFrame:
 # --- correlation ---------------------------------------------------------------------------------
 
 
+def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(i, j, r)`` for every pair of column positions, over the rows where both are known.
+
+    Hundreds of ``corr`` aggregates in one query outgrow what the JVM compiles, so each partition sums its
+    Arrow batches into small d x d matrices and Spark adds those up. Values are taken relative to a
+    typical value of their column; a column without spread gives null.
+    """
+    known = {c: known_double(df, c) for c in columns}
+    middles = df.agg(*[F.percentile_approx(x, 0.5, 100).alias(f"m{i}") for i, x in enumerate(known.values())]).first()
+    centred = df.select(*[(x - F.lit(middles[i] or 0.0)).alias(f"c{i}") for i, x in enumerate(known.values())])
+    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    partial = centred.mapInArrow(pair_sums, "i int, j int, " + ", ".join(f"{s} double" for s in sums))
+    total = partial.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])
+    n, sx, sy, sxx, syy, sxy = (F.col(s) for s in sums)
+
+    def spread(square: Column, plain: Column) -> Column:
+        left = square - F.try_divide(plain * plain, n)
+        return F.when(left > square * F.lit(ROUNDING_NOISE), left)
+
+    scale = F.sqrt(spread(sxx, sx)) * F.sqrt(spread(syy, sy))
+    return total.select("i", "j", F.try_divide(sxy - F.try_divide(sx * sy, n), scale).alias("r"))
+
+
+def pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over a partition for every pair of columns; a row counts for a pair if both are known."""
+    total = None
+    for batch in batches:
+        values = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+        there = ~np.isnan(values)
+        filled, present = np.where(there, values, 0.0), there.astype(float)
+        both = np.stack(
+            [present.T @ present, filled.T @ present, (filled * filled).T @ present, filled.T @ filled]
+        )
+        total = both if total is None else total + both
+    if total is None:
+        return
+    i, j = np.triu_indices(total.shape[1], 1)
+    n, plain, square, product = total
+    yield pa.RecordBatch.from_pydict(
+        {
+            "i": i.astype("int32"),
+            "j": j.astype("int32"),
+            "n": n[i, j],
+            "sx": plain[i, j],
+            "sy": plain[j, i],
+            "sxx": square[i, j],
+            "syy": square[j, i],
+            "sxy": product[i, j],
+        }
+    )
+
+
 def correlation_pairs(
     df: DataFrame, columns: Sequence[str], high: float = HIGH_CORRELATION, duplicate: float = NEAR_DUPLICATE
 ) -> DataFrame:
-    """Pearson correlation of every pair of columns with its band; one pass per 120 pairs."""
-    pairs = list(combinations(columns, 2))
-    parts = []
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        some = pairs[start : start + PAIRS_PER_PASS]
-        wide = df.agg(
-            *[pearson(known_double(df, a), known_double(df, b)).alias(f"r{i}") for i, (a, b) in enumerate(some)]
-        )
-        parts.append(
-            rows_from(
-                wide,
-                [{"col1": F.lit(a), "col2": F.lit(b), "_r": F.col(f"r{i}")} for i, (a, b) in enumerate(some)],
-            )
-        )
-    long = reduce(DataFrame.unionByName, parts)
+    """Pearson correlation of every pair of columns with its band."""
+    names = F.array(*[F.lit(c) for c in columns])
+    long = pair_correlations(df, columns).select(
+        F.get(names, F.col("i")).alias("col1"), F.get(names, F.col("j")).alias("col2"), F.col("r").alias("_r")
+    )
     size = F.abs(F.col("_r"))
     kind = (
         F.when(size > duplicate, F.lit("near_duplicate")).when(size > high, F.lit("high")).otherwise(F.lit("none"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +14,7 @@ from gritmill.session import materialise
 
 ROWS_PER_RANGE = 2_000_000
 MAX_RANGES = 4_096
+SKETCH_ACCURACY = 2_000
 
 
 def range_cuts(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
@@ -90,19 +91,14 @@ def value_counts(df: DataFrame, measures: Sequence[str], by: Sequence[str] = ())
     return long.groupBy(*[col(b) for b in by], "measure", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quantiles(
+def _grouped_quantiles(
     df: DataFrame,
     measures: Sequence[str],
     probabilities: Sequence[float],
-    by: Sequence[str] = (),
-    interpolate: bool = False,
-    rows_per_range: int = ROWS_PER_RANGE,
+    by: Sequence[str],
+    interpolate: bool,
+    rows_per_range: int,
 ) -> DataFrame:
-    """Exact quantiles ``q0, q1, ...`` per (by, measure), with the number of known values ``n``.
-
-    Without interpolation the quantile is the smallest value that at least that share of the values does
-    not exceed; with it, values are interpolated linearly between ranks, as ``median`` does.
-    """
     counts = materialise(value_counts(df, measures, by), "value_counts")
     ranked = running_totals(counts, "value", ["n"], [*by, "measure"], rows_per_range=rows_per_range)
     first, last, size = F.col("n_run") - F.col("n") + 1, F.col("n_run"), F.col("n_all")
@@ -131,10 +127,128 @@ def quantiles(
     return picked.select(*[col(k) for k in keys], "n", *blended)
 
 
-def kth_smallest(df: DataFrame, name: str, k: int, rows_per_range: int = ROWS_PER_RANGE) -> float | None:
-    """The k-th smallest value of a numeric column (1-based), exactly; null if there are fewer."""
-    counts = df.filter(col(name).isNotNull()).groupBy(col(name).cast("double").alias("value"))
-    counts = materialise(counts.agg(F.count(F.lit(1)).alias("n")), "kth_counts")
-    ranked = running_totals(counts, "value", ["n"], rows_per_range=rows_per_range)
-    hit = ranked.filter(F.lit(k).between(F.col("n_run") - F.col("n") + 1, F.col("n_run"))).select("value").first()
-    return hit["value"] if hit else None
+def _brackets(around: Sequence[float]) -> list[tuple[float, float]]:
+    """Pairs of bounds as sorted ranges that do not overlap."""
+    merged: list[tuple[float, float]] = []
+    for low, high in sorted(zip(around[::2], around[1::2], strict=True)):
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+        else:
+            merged.append((low, high))
+    return merged
+
+
+def values_at_ranks(
+    df: DataFrame,
+    measures: Sequence[str],
+    near: Sequence[float],
+    ranks: Callable[[int], Sequence[int]],
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> dict[str, tuple[int, dict[int, float]]]:
+    """Number of known values, and the exact values at the given ranks (1-based), per measure.
+
+    ``near`` names shares of the values that the ranks are close to.
+
+    Two passes. A mergeable sketch brackets each share; then only values inside a bracket, about a
+    thousandth of the rows, are counted one by one, while the rest is counted per zone between brackets,
+    already in the map stage. A rank outside its bracket would show, and its measure would go through
+    the full value counts instead.
+    """
+    value = {m: known_double(df, m) for m in measures}
+    margin = 2.0 / SKETCH_ACCURACY
+    shares = [min(max(p + d, 0.0), 1.0) for p in near for d in (-margin, margin)]
+    sketch = df.agg(
+        *[F.count(x).alias(f"n{i}") for i, x in enumerate(value.values())],
+        *[F.percentile_approx(x, shares, SKETCH_ACCURACY).alias(f"s{i}") for i, x in enumerate(value.values())],
+    ).first()
+    sizes = {m: sketch[f"n{i}"] for i, m in enumerate(measures) if sketch[f"n{i}"]}
+    if not sizes:
+        return {}
+    bounds = {i: _brackets(sketch[f"s{i}"]) for i, m in enumerate(measures) if m in sizes}
+    most = max(map(len, bounds.values()))
+    unused = (float("inf"), float("inf"))
+    table = F.array(
+        *[
+            F.array(*[F.lit(b) for pair in (bounds.get(i, []) + [unused] * most)[:most] for b in pair])
+            for i in range(len(measures))
+        ]
+    )
+    plain = df.select(*[x.alias(str(i)) for i, x in enumerate(value.values()) if i in bounds])
+    long = plain.unpivot([], [col(str(i)) for i in bounds], "i", "value").filter(F.col("value").isNotNull())
+    long = long.select(F.col("i").cast("int").alias("i"), "value")
+    zone, edges = F.lit(0), F.get(table, F.col("i"))
+    for j in range(most):
+        zone = (
+            F.when(F.col("value") > F.get(edges, F.lit(2 * j + 1)), F.lit(2 * j + 2))
+            .when(F.col("value") >= F.get(edges, F.lit(2 * j)), F.lit(2 * j + 1))
+            .otherwise(zone)
+        )
+    zoned = long.withColumn("zone", zone).withColumn("value", F.when(F.col("zone") % 2 == 1, F.col("value")))
+    counts = materialise(zoned.groupBy("i", "zone", "value").agg(F.count(F.lit(1)).alias("n")), "bracketed")
+    totals = {(r["i"], r["zone"]): r["n"] for r in counts.groupBy("i", "zone").agg(F.sum("n").alias("n")).collect()}
+    ranked = running_totals(
+        counts.filter(F.col("zone") % 2 == 1), "value", ["n"], ["i", "zone"], rows_per_range=rows_per_range
+    )
+    wanted, unsure = [], set()
+    for i, m in enumerate(measures):
+        for rank in dict.fromkeys(ranks(sizes[m])) if m in sizes else []:
+            before = 0
+            for zone in sorted(z for j, z in totals if j == i):
+                if before < rank <= before + totals[i, zone]:
+                    wanted.append((i, zone, rank - before, rank))
+                    if zone % 2 == 0:
+                        unsure.add(m)
+                before += totals[i, zone]
+    found: dict[str, dict[int, float]] = {m: {} for m in sizes}
+    sought = df.sparkSession.createDataFrame(wanted, "i int, zone int, inner bigint, rank bigint")
+    inside = F.col("inner").between(F.col("n_run") - F.col("n") + 1, F.col("n_run"))
+    for r in ranked.join(F.broadcast(sought), ["i", "zone"]).filter(inside).select("i", "rank", "value").collect():
+        found[measures[r["i"]]][r["rank"]] = r["value"]
+    for m in unsure:
+        full = running_totals(
+            materialise(value_counts(df, [m]), "value_counts"), "value", ["n"], rows_per_range=rows_per_range
+        )
+        for rank in ranks(sizes[m]):
+            hit = full.filter(F.lit(rank).between(F.col("n_run") - F.col("n") + 1, F.col("n_run")))
+            found[m][rank] = hit.first()["value"]
+    return {m: (sizes[m], values) for m, values in found.items()}
+
+
+def quantiles(
+    df: DataFrame,
+    measures: Sequence[str],
+    probabilities: Sequence[float],
+    by: Sequence[str] = (),
+    interpolate: bool = False,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """Exact quantiles ``q0, q1, ...`` per (by, measure).
+
+    Without interpolation the quantile is the smallest value that at least that share of the values does
+    not exceed; with it, values are interpolated linearly between ranks, as ``median`` does.
+    """
+    if by:
+        return _grouped_quantiles(df, measures, probabilities, by, interpolate, rows_per_range).drop("n")
+
+    def places(size: int) -> list[tuple[int, int, float]]:
+        """Lower rank, upper rank and distance from the lower one, per probability."""
+        if not interpolate:
+            return [(r, r, 0.0) for r in (max(1, math.ceil(size * p)) for p in probabilities)]
+        spots = [(size - 1) * p for p in probabilities]
+        return [(math.floor(s) + 1, math.ceil(s) + 1, s - math.floor(s)) for s in spots]
+
+    def ranks(size: int) -> list[int]:
+        return [r for low, high, _ in places(size) for r in (low, high)]
+
+    found = values_at_ranks(df, measures, probabilities, ranks, rows_per_range)
+    rows = [
+        (m, *[(1 - gap) * at[low] + gap * at[high] for low, high, gap in places(size)])
+        for m, (size, at) in found.items()
+    ]
+    names = ", ".join(f"q{i} double" for i in range(len(probabilities)))
+    return df.sparkSession.createDataFrame(rows, f"measure string, {names}")
+
+
+def kth_smallest(df: DataFrame, name: str, k: int, of: int, rows_per_range: int = ROWS_PER_RANGE) -> float:
+    """The k-th smallest (1-based) of the ``of`` known values of a numeric column, exactly."""
+    return values_at_ranks(df, [name], [k / of], lambda size: [k], rows_per_range)[name][1][k]

@@ -46,7 +46,7 @@ def balance_classes(df: DataFrame, label: str, keys: Sequence[str]) -> DataFrame
     for value, n in sizes.items():
         member = col(label).eqNullSafe(F.lit(value))
         if n > floor:
-            limit = kth_smallest(df.filter(member).select(place.alias("place")), "place", floor)
+            limit = kth_smallest(df.filter(member).select(place.alias("place")), "place", floor, of=n)
             member = member & (place <= F.lit(int(limit)))
         rule = rule | member
     return df.filter(rule)
