@@ -14,6 +14,7 @@ from gritmill.functions.columns import col, known_double, pearson, share
 from gritmill.functions.moments_in_time import seconds_between
 from gritmill.operators.joining import keep_most_frequent, with_group_total, with_total
 from gritmill.operators.ranking import ROWS_PER_RANGE, quantiles
+from gritmill.session import materialise
 
 
 def group_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -159,8 +160,8 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pearson matrix ``(a, b, r)`` over complete rows: numbers, flags as 0/1, categories by index.
 
-    MLlib sums one d x d matrix over the partitions, so the cost does not depend on the number of rows in
-    any one task; only the matrix reaches the driver.
+    MLlib sums one d x d matrix over the partitions; only the matrix reaches the driver. It passes over the
+    columns several times, so they are written first.
     """
     names = [*numbers, *flags, *categories]
     plain = df.select(
@@ -168,6 +169,7 @@ def correlation_matrix(
         *[col(f).cast("double").alias(f"c{len(numbers) + i}") for i, f in enumerate(flags)],
         *[col(c).cast("string").alias(f"t{i}") for i, c in enumerate(categories)],
     )
+    plain = materialise(plain, "matrix_columns")
     offset = len(numbers) + len(flags)
     stages: list = [
         StringIndexer(inputCol=f"t{i}", outputCol=f"c{offset + i}", handleInvalid="skip")

@@ -67,23 +67,46 @@ def add_plain_features(df: DataFrame, plan: FeaturePlan) -> DataFrame:
 # --- learned -------------------------------------------------------------------------------------
 
 
-def bin_edges(train: DataFrame, bins: Sequence[Binning]) -> dict[str, list[float]]:
-    """Edges per column, open at both ends; equal widths come from one pass over train."""
-    even = [b for b in bins if b.strategy == "equal_width"]
-    edges = {b.column: [-INFINITY, *map(float, b.cuts), INFINITY] for b in bins if b.strategy == "custom_cuts"}
-    if even:
-        limits = train.agg(
-            *[F.min(known_double(train, b.column)).alias(f"lo{i}") for i, b in enumerate(even)],
-            *[F.max(known_double(train, b.column)).alias(f"hi{i}") for i, b in enumerate(even)],
-        ).first()
-        for i, b in enumerate(even):
-            low, high = limits[f"lo{i}"], limits[f"hi{i}"]
+def learn(
+    train: DataFrame,
+    spread_of: Sequence[str] = (),
+    moments_of: Sequence[str] = (),
+    distinct_of: Sequence[str] = (),
+) -> dict[tuple[str, str], float]:
+    """Everything a plan needs to know about train, by (statistic, column), from one pass."""
+    wanted: dict[tuple[str, str], Column] = {}
+    for c in spread_of:
+        wanted["min", c] = F.min(known_double(train, c))
+        wanted["max", c] = F.max(known_double(train, c))
+    for c in moments_of:
+        wanted["mean", c] = F.avg(known_double(train, c))
+        wanted["std", c] = F.stddev(known_double(train, c))
+    for c in distinct_of:
+        wanted["distinct", c] = F.approx_count_distinct(col(c))
+    if not wanted:
+        return {}
+    found = train.agg(*[w.alias(f"w{i}") for i, w in enumerate(wanted.values())]).first()
+    return {key: found[f"w{i}"] for i, key in enumerate(wanted)}
+
+
+def edges_from(bins: Sequence[Binning], learned: dict[tuple[str, str], float]) -> dict[str, list[float]]:
+    """Edges per column, open at both ends; equal widths lie between the extremes of train."""
+    edges = {}
+    for b in bins:
+        inner = sorted(map(float, b.cuts))
+        if b.strategy == "equal_width":
+            low, high = learned["min", b.column], learned["max", b.column]
             width = (high - low) / b.bins
             inner = sorted({low + width * step for step in range(1, b.bins)}) if width else []
-            edges[b.column] = [-INFINITY, *inner, INFINITY]
+        edges[b.column] = [-INFINITY, *inner, INFINITY]
     return edges
 
 
+def bin_edges(train: DataFrame, bins: Sequence[Binning]) -> dict[str, list[float]]:
+    even = [b.column for b in bins if b.strategy == "equal_width"]
+    return edges_from(bins, learn(train, spread_of=even))
+
+
 def bucketizer(edges: dict[str, list[float]]) -> Bucketizer:
     names = list(edges)
     return Bucketizer(
@@ -108,12 +131,9 @@ def bin_description(df: DataFrame, column: str, edges: Sequence[float]) -> DataF
     return table.join(counted, "bin", "left").select("bin", "description", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def check_cardinality(train: DataFrame, columns: Sequence[str], limit: int = INDEX_LIMIT) -> None:
+def check_cardinality(columns: Sequence[str], learned: dict[tuple[str, str], float], limit: int = INDEX_LIMIT) -> None:
     """An index keeps its labels in the driver, so columns with too many are refused."""
-    if not columns:
-        return
-    found = train.agg(*[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    wide = [c for i, c in enumerate(columns) if found[f"d{i}"] > limit * 1.1]
+    wide = [c for c in columns if learned["distinct", c] > limit * 1.1]
     if wide:
         raise ValueError(f"more than {limit} values, drop or group first: {wide}")
 
@@ -143,30 +163,29 @@ def encoding_choice(categories: DataFrame, one_hot_limit: int = ONE_HOT_LIMIT, i
     return categories.select("column_name", "distinct_count", action.alias("action"))
 
 
-def scale_parameters(train: DataFrame, columns: Sequence[str], strategy: str) -> dict[str, tuple[float, float]]:
-    """Offset and factor per column from one pass over train: ``(x - offset) * factor``.
+def scales_from(
+    columns: Sequence[str], strategy: str, learned: dict[tuple[str, str], float]
+) -> dict[str, tuple[float, float]]:
+    """Offset and factor per column: ``(x - offset) * factor``.
 
     A constant column scales to 0 (standard) or 0.5 (minmax), kept as factor 0 with that offset.
     """
-    if not columns:
-        return {}
-    value = {c: known_double(train, c) for c in columns}
-    low, spread = (F.avg, F.stddev) if strategy == "standard" else (F.min, F.max)
-    found = train.agg(
-        *[low(v).alias(f"a{i}") for i, v in enumerate(value.values())],
-        *[spread(v).alias(f"b{i}") for i, v in enumerate(value.values())],
-    ).first()
     out = {}
-    for i, c in enumerate(columns):
-        a, b = found[f"a{i}"], found[f"b{i}"]
-        width = (b if strategy == "standard" else b - a) if a is not None and b is not None else 0.0
-        if width:
-            out[c] = (a, 1.0 / width)
+    for c in columns:
+        if strategy == "standard":
+            offset, width, constant = learned["mean", c], learned["std", c] or 0.0, 0.0
         else:
-            out[c] = (0.0 if strategy == "standard" else 0.5, 0.0)
+            offset, constant = learned["min", c], 0.5
+            width = learned["max", c] - offset if offset is not None else 0.0
+        out[c] = (offset, 1.0 / width) if width else (constant, 0.0)
     return out
 
 
+def scale_parameters(train: DataFrame, columns: Sequence[str], strategy: str) -> dict[str, tuple[float, float]]:
+    wanted = {"moments_of" if strategy == "standard" else "spread_of": columns}
+    return scales_from(columns, strategy, learn(train, **wanted))
+
+
 def scale(df: DataFrame, parameters: dict[str, tuple[float, float]]) -> DataFrame:
     """Replace every column by its scaled value."""
     usable = {c: p for c, p in parameters.items() if c in df.columns}
@@ -245,26 +264,33 @@ class FittedFeatures:
 def fit_features(train: DataFrame, plan: FeaturePlan) -> FittedFeatures:
     """Learn bin edges, category labels and scales on train.
 
-    Three small jobs whatever the number of columns: all edges, all label counts, all scales.
+    Two passes whatever the number of columns: one aggregate, and the label counts of all indices. Hand
+    in a written table: passes over a long lineage would repeat it.
     """
     plain = add_plain_features(train, plan)
     present = set(train.columns)
-    stages: list = []
     bins = [b for b in plan.bins if b.column in present]
-    if bins:
-        stages.append(bucketizer(bin_edges(plain, bins)))
     hot = [e.column for e in plan.encodings if e.action == "string_index_ohe" and e.column in present]
     indexed = hot + [e.column for e in plan.encodings if e.action == "string_index_only" and e.column in present]
+    scaled = [c for c in plan.scaled if c in plain.columns and c not in plan.consumed()] if plan.scaling else []
+    learned = learn(
+        plain,
+        spread_of=[b.column for b in bins if b.strategy == "equal_width"] + (scaled if plan.scaling == "minmax" else []),
+        moments_of=scaled if plan.scaling == "standard" else [],
+        distinct_of=indexed,
+    )
+    check_cardinality(indexed, learned)
+    stages: list = []
+    if bins:
+        stages.append(bucketizer(edges_from(bins, learned)))
     if indexed:
-        check_cardinality(plain, indexed)
         stages.append(indexer(indexed))
     if hot:
         stages.append(one_hot(hot))
-    scaled = [c for c in plan.scaled if c in plain.columns and c not in plan.consumed()]
     return FittedFeatures(
         plan=plan,
         stages=Pipeline(stages=stages).fit(plain),
-        scales=scale_parameters(plain, scaled, plan.scaling) if plan.scaling else {},
+        scales=scales_from(scaled, plan.scaling, learned) if plan.scaling else {},
         features=feature_columns(train, plan),
     )
 

@@ -116,41 +116,37 @@ def engineered_profile(df: DataFrame, target: str) -> DataFrame:
     fields = [
         f for f in df.schema if f.name != target and isinstance(f.dataType, (T.NumericType, T.BooleanType))
     ]
-    aggregates: list[Column] = []
-    for i, f in enumerate(fields):
-        raw = col(f.name).cast("int") if isinstance(f.dataType, T.BooleanType) else col(f.name)
-        x = F.nanvl(raw.cast("double"), F.lit(None).cast("double"))
-        aggregates += [
-            F.avg(x).alias(f"mean{i}"),
-            F.stddev(x).alias(f"std{i}"),
-            F.min(x).alias(f"min{i}"),
-            F.max(x).alias(f"max{i}"),
-            F.skewness(x).alias(f"skew{i}"),
-            F.coalesce(F.bool_and(x.isin(0.0, 1.0)), F.lit(False)).alias(f"flag{i}"),
-        ]
-        if f.name.endswith("_idx"):
-            aggregates.append(F.approx_count_distinct(x).alias(f"card{i}"))
-    wide = df.agg(*aggregates)
-    rows = []
+    values, sums, rows = [], [], []
     for i, f in enumerate(fields):
+        whole = col(f.name).cast("int") if isinstance(f.dataType, T.BooleanType) else col(f.name)
+        values.append(F.nanvl(whole.cast("double"), F.lit(None).cast("double")).alias(f"x{i}"))
         index = f.name.endswith("_idx")
-        flag = F.col(f"flag{i}") if not index else F.lit(False)
-        kind = F.when(flag, F.lit("flag")).otherwise(F.lit("index" if index else "number"))
+        named = {
+            "mean": f"avg(x{i})",
+            "stddev": f"stddev(x{i})",
+            "min": f"min(x{i})",
+            "max": f"max(x{i})",
+            "skewness": f"skewness(x{i})",
+            "is_flag": "false" if index else f"coalesce(bool_and(x{i} IN (0D, 1D)), false)",
+            "approx_cardinality": f"approx_count_distinct(x{i})" if index else "CAST(NULL AS BIGINT)",
+        }
+        sums += [f"{expression} AS {name}{i}" for name, expression in named.items()]
         rows.append(
-            {
-                "column_name": F.lit(f.name),
-                "kind": kind,
-                "true_ratio": F.when(flag, F.round(f"mean{i}", 4)),
-                "min": F.round(f"min{i}", 4),
-                "max": F.round(f"max{i}", 4),
-                "mean": F.round(f"mean{i}", 4),
-                "stddev": F.round(f"std{i}", 4),
-                "skewness": F.round(f"skew{i}", 4),
-                "contains_negatives": F.coalesce(F.col(f"min{i}") < 0, F.lit(False)),
-                "approx_cardinality": (F.col(f"card{i}") if index else F.lit(None)).cast("bigint"),
-            }
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.lit("index" if index else "number").alias("plain_kind"),
+                *[F.col(f"{name}{i}").alias(name) for name in named],
+            )
         )
-    return rows_from(wide, rows)
+    long = df.select(*values).selectExpr(*sums).select(F.inline(F.array(*rows)))
+    return long.selectExpr(
+        "column_name",
+        "IF(is_flag, 'flag', plain_kind) AS kind",
+        "IF(is_flag, round(mean, 4), NULL) AS true_ratio",
+        *[f"round({m}, 4) AS {m}" for m in ("min", "max", "mean", "stddev", "skewness")],
+        "coalesce(min < 0, false) AS contains_negatives",
+        "approx_cardinality",
+    )
 
 
 def class_weight_ratio(df: DataFrame, label: str) -> DataFrame:

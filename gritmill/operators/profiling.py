@@ -142,20 +142,23 @@ def missing_profile(df: DataFrame) -> DataFrame:
 # --- numbers -------------------------------------------------------------------------------------
 
 
-def _central_moments(sums: DataFrame, middles: Sequence[float]) -> DataFrame:
-    """Mean, sample deviation, skewness and excess kurtosis per column from sums of powers about a middle."""
-    moments: dict[str, Column] = {}
-    for i, middle in enumerate(middles):
-        n = F.col(f"n{i}").cast("double")
-        a1, a2, a3, a4 = (F.try_divide(F.col(f"s{k}_{i}"), n) for k in (1, 2, 3, 4))
-        m2 = F.greatest(a2 - a1 * a1, F.lit(0.0))
-        m3 = a3 - a1 * a2 * 3 + F.pow(a1, F.lit(3)) * 2
-        m4 = a4 - a1 * a3 * 4 + a1 * a1 * a2 * 6 - F.pow(a1, F.lit(4)) * 3
-        moments[f"mean{i}"] = a1 + F.lit(middle)
-        moments[f"std{i}"] = F.sqrt(F.try_divide(m2 * n, n - 1))
-        moments[f"skew{i}"] = F.try_divide(m3, F.pow(m2, F.lit(1.5)))
-        moments[f"kurt{i}"] = F.try_divide(m4, m2 * m2) - 3
-    return sums.withColumns(moments)
+def _moments(sums: DataFrame) -> DataFrame:
+    """Mean, sample deviation, skewness and excess kurtosis from sums of powers of the distance to ``middle``."""
+    n = F.col("n").cast("double")
+    a1, a2, a3, a4 = (F.try_divide(F.col(f"s{k}"), n) for k in (1, 2, 3, 4))
+    raw = sums.withColumns({f"a{k}": a for k, a in enumerate((a1, a2, a3, a4), start=1)})
+    return raw.selectExpr(
+        "*",
+        "a1 + middle AS mean",
+        "greatest(a2 - a1 * a1, 0D) AS m2",
+        "a3 - 3 * a1 * a2 + 2 * pow(a1, 3) AS m3",
+        "a4 - 4 * a1 * a3 + 6 * a1 * a1 * a2 - 3 * pow(a1, 4) AS m4",
+    ).selectExpr(
+        "*",
+        "sqrt(try_divide(m2 * n, n - 1)) AS std",
+        "try_divide(m3, pow(m2, 1.5)) AS skewness",
+        "try_divide(m4, m2 * m2) - 3 AS kurtosis",
+    )
 
 
 def numeric_profile(
@@ -166,61 +169,51 @@ def numeric_profile(
     Three passes whatever the number of columns: two for the exact quartiles, then one aggregate of plain
     sums. The sums are of distances from the middle of the quartiles, so large values lose no digits.
     """
-    quartiles = {
-        r["measure"]: (r["q0"], r["q1"])
-        for r in quantiles(df, columns, [0.25, 0.75], rows_per_range=rows_per_range).collect()
-    }
-    aggregates: list[Column] = []
+    found = quantiles(df, columns, [0.25, 0.75], rows_per_range=rows_per_range).collect()
+    quartiles = {r["measure"]: (r["q0"], r["q1"]) for r in found}
+    values, sums, rows = [], [], []
     for i, c in enumerate(columns):
-        value = known_double(df, c)
         low, high = quartiles.get(c, (0.0, 0.0))
-        reach = OUTLIER_FENCE * (high - low)
-        outside = (value < low - reach) | (value > high + reach) if reach else F.lit(False)
-        centred = value - F.lit((low + high) / 2)
-        square = centred * centred
-        aggregates += [
-            F.count(value).alias(f"n{i}"),
-            F.count_if(value.isNull()).alias(f"gap{i}"),
-            F.min(value).alias(f"min{i}"),
-            F.max(value).alias(f"max{i}"),
-            F.count_if(outside).alias(f"out{i}"),
-            F.sum(centred).alias(f"s1_{i}"),
-            F.sum(square).alias(f"s2_{i}"),
-            F.sum(square * centred).alias(f"s3_{i}"),
-            F.sum(square * square).alias(f"s4_{i}"),
-        ]
-    moments = _central_moments(df.agg(*aggregates), [sum(quartiles.get(c, (0.0, 0.0))) / 2 for c in columns])
-
-    def rounded(name: str) -> Column:
-        return F.round(F.coalesce(F.col(name), F.lit(0.0)), 4)
-
-    long = rows_from(
-        moments,
-        [
-            {
-                "column_name": F.lit(c),
-                "mean": rounded(f"mean{i}"),
-                "std": rounded(f"std{i}"),
-                "min": rounded(f"min{i}"),
-                "max": rounded(f"max{i}"),
-                "q25": F.lit(quartiles[c][0] if c in quartiles else None).cast("double"),
-                "q75": F.lit(quartiles[c][1] if c in quartiles else None).cast("double"),
-                "skewness": rounded(f"skew{i}"),
-                "kurtosis": rounded(f"kurt{i}"),
-                "outlier_count": F.col(f"out{i}"),
-                "_gaps": F.col(f"gap{i}"),
-                "_skew": F.abs(F.coalesce(F.col(f"skew{i}"), F.lit(0.0))),
-            }
-            for i, c in enumerate(columns)
-        ],
-    )
-    shaped = long.withColumn("distribution", band(F.col("_skew"), SKEW_BANDS, SKEW_ABOVE))
+        reach, middle, x = OUTLIER_FENCE * (high - low), (low + high) / 2, known_double(df, c)
+        outside = ~x.between(low - reach, high + reach) if reach else F.lit(False)
+        values += [x.alias(f"x{i}"), (x - F.lit(middle)).alias(f"z{i}"), outside.alias(f"o{i}")]
+        named = {
+            "n": f"count(x{i})",
+            "gaps": f"count(*) - count(x{i})",
+            "min": f"min(x{i})",
+            "max": f"max(x{i})",
+            "outlier_count": f"count_if(o{i})",
+            **{f"s{k}": f"sum({'*'.join([f'z{i}'] * k)})" for k in (1, 2, 3, 4)},
+        }
+        sums += [f"{expression} AS {name}{i}" for name, expression in named.items()]
+        q25, q75 = quartiles.get(c, (None, None))
+        rows.append(
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.lit(middle).alias("middle"),
+                F.lit(q25).cast("double").alias("q25"),
+                F.lit(q75).cast("double").alias("q75"),
+                *[F.col(f"{name}{i}").alias(name) for name in named],
+            )
+        )
+    shaped = _moments(df.select(*values).selectExpr(*sums).select(F.inline(F.array(*rows))))
     strategy = (
-        F.when(F.col("_gaps") == 0, F.lit("not needed"))
+        F.when(F.col("gaps") == 0, F.lit("not needed"))
         .when(F.col("distribution") == "normal", F.lit("mean"))
         .otherwise(F.lit("median"))
     )
-    return shaped.withColumn("imputation", strategy).drop("_gaps", "_skew")
+    size = F.abs(F.coalesce(F.col("skewness"), F.lit(0.0)))
+    named = shaped.withColumn("distribution", band(size, SKEW_BANDS, SKEW_ABOVE)).withColumn("imputation", strategy)
+    return named.selectExpr(
+        "column_name",
+        *[f"round(coalesce({m}, 0D), 4) AS {m}" for m in ("mean", "std", "min", "max")],
+        "q25",
+        "q75",
+        *[f"round(coalesce({m}, 0D), 4) AS {m}" for m in ("skewness", "kurtosis")],
+        "outlier_count",
+        "distribution",
+        "imputation",
+    )
 
 
 # --- categories ----------------------------------------------------------------------------------
@@ -286,13 +279,14 @@ def case_variants(counts: DataFrame) -> DataFrame:
 def frequent_tokens(df: DataFrame, name: str, scan: int = 20, keep: int = 10) -> DataFrame:
     """Keywords of a text column: its ``scan`` most frequent tokens, less stop words and bare numbers.
 
-    Whole texts are split, and tokens are counted in the map stage before they are shuffled.
+    Whole texts are split. Tokens are counted in the map stage before they are shuffled, and only distinct
+    ones are stripped of punctuation.
     """
     tokens = df.select(F.explode(F.split(F.lower(col(name)), TOKEN_BREAK)).alias("raw"))
+    raw = tokens.groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
     counted = (
-        tokens.select(F.regexp_replace("raw", TOKEN_NOISE, "").alias("token"))
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"))
+        raw.groupBy(F.regexp_replace("raw", TOKEN_NOISE, "").alias("token"))
+        .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "token")
         .limit(scan)
     )

@@ -43,8 +43,8 @@ def running_totals(
 
     ``df`` holds one row per (by, order) and should be written already. A plain window would put all rows
     of a group in one task, so values are cut into ranges: totals per (group, range) are few (at most
-    ``MAX_RANGES`` per group) and give each range its starting offset; inside a range an ordinary window
-    does the rest. Window and join partition on the same columns, so the rows are shuffled once.
+    ``MAX_RANGES`` per group) and give each range an opening row with what came before it; inside a range
+    an ordinary window does the rest. The rows are shuffled and sorted once, and nothing is joined.
     """
     group = [col(b) for b in by]
     cuts = range_cuts(df, order, rows_per_range)
@@ -60,27 +60,24 @@ def running_totals(
     subtotal = ranged.groupBy(*group, "_range").agg(*[F.sum(col(s)).alias(f"_{s}") for s in sums])
     whole = Window.partitionBy(*group) if by else Window.partitionBy(F.lit(0))
     before = whole.orderBy(direction(F.col("_range"))).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = subtotal.select(
-        *[col(b).alias(f"_by{i}") for i, b in enumerate(by)],
-        F.col("_range").alias("_at"),
-        *[F.coalesce(F.sum(f"_{s}").over(before), F.lit(0)).alias(f"_{s}_before") for s in sums],
+    openers = subtotal.select(
+        *group,
+        "_range",
+        F.lit(True).alias("_opens"),
+        *[F.coalesce(F.sum(f"_{s}").over(before), F.lit(0)).alias(s) for s in sums],
         *[F.sum(f"_{s}").over(whole).alias(f"{s}_all") for s in sums],
     )
     inside = (
         Window.partitionBy(*group, "_range")
-        .orderBy(direction(col(order)))
+        .orderBy(F.col("_opens").desc(), direction(col(order)))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = ranged.withColumns({f"_{s}_inside": F.sum(col(s)).over(inside) for s in sums})
-    match: Column = F.col("_range") == F.col("_at")
-    for i, b in enumerate(by):
-        match = match & col(b).eqNullSafe(F.col(f"_by{i}"))
-    joined = summed.join(offsets if by else F.broadcast(offsets), match)
-    return joined.select(
-        *[col(c) for c in df.columns],
-        *[(F.col(f"_{s}_before") + F.col(f"_{s}_inside")).alias(f"{s}_run") for s in sums],
-        *[col(f"{s}_all") for s in sums],
+    rows = ranged.withColumn("_opens", F.lit(False)).unionByName(openers, allowMissingColumns=True)
+    summed = rows.withColumns(
+        {f"{s}_run": F.sum(col(s)).over(inside) for s in sums}
+        | {f"{s}_all": F.max(col(f"{s}_all")).over(inside) for s in sums}
     )
+    return summed.filter(~F.col("_opens")).drop("_range", "_opens")
 
 
 def value_counts(df: DataFrame, measures: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

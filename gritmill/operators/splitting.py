@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gritmill.functions.columns import col, hash_long, hash_percent
+from gritmill.functions.rows import rows_from
 from gritmill.operators.ranking import kth_smallest
 
 
@@ -81,17 +82,31 @@ def require_same_schema(train: DataFrame, test: DataFrame) -> None:
 
 
 def split_integrity(whole: DataFrame, train: DataFrame, test: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys in both splits, and rows lost or invented by the split; all three must be zero."""
+    """Keys in both splits, and rows lost or invented by the split; all three must be zero.
+
+    Rows are compared as a multiset: the whole counts +1, the splits -1, and identical rows cancel out in
+    the map stage already.
+    """
     names = [col(k) for k in keys]
-    shared = train.select(*names).intersect(test.select(*names))
-    both = train.unionByName(test)
-    checks = [
-        ("keys_in_both_splits", shared),
-        ("rows_lost", whole.exceptAll(both)),
-        ("rows_invented", both.exceptAll(whole)),
-    ]
-    out = None
-    for name, rows in checks:
-        one = rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("check"), "rows")
-        out = one if out is None else out.unionByName(one)
-    return out
+    sides = train.select(*names, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
+        test.select(*names, F.lit(0).alias("_a"), F.lit(1).alias("_b"))
+    )
+    shared = sides.groupBy(*names).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
+    overlap = shared.agg(F.count_if((F.col("_a") == 1) & (F.col("_b") == 1)).alias("rows"))
+    signed = whole.withColumn("_n", F.lit(1)).unionByName(train.unionByName(test).withColumn("_n", F.lit(-1)))
+    balance = signed.groupBy(*[col(c) for c in whole.columns]).agg(F.sum("_n").alias("_n"))
+    left = balance.agg(
+        F.coalesce(F.sum(F.greatest("_n", F.lit(0))), F.lit(0)).alias("lost"),
+        F.coalesce(F.sum(F.greatest(-F.col("_n"), F.lit(0))), F.lit(0)).alias("invented"),
+    )
+    return rows_from(
+        overlap, [{"check": F.lit("keys_in_both_splits"), "rows": F.col("rows")}]
+    ).unionByName(
+        rows_from(
+            left,
+            [
+                {"check": F.lit("rows_lost"), "rows": F.col("lost")},
+                {"check": F.lit("rows_invented"), "rows": F.col("invented")},
+            ],
+        )
+    )

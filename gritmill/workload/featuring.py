@@ -15,7 +15,16 @@ from gritmill.plans.planner import build_plan, plan_rows
 from gritmill.session import fresh_path
 from gritmill.workload.profiling import CATEGORIES, CATEGORY_SQL, NUMBERS, token_sql
 from gritmill.workload.registry import query
-from gritmill.workload.views import FACT_SQL, LINES_SQL, fact, hash_sql, lines, table
+from gritmill.workload.views import (
+    FACT_SQL,
+    LINES_SQL,
+    fact,
+    hash_sql,
+    lines,
+    table,
+    written_fact,
+    written_splits,
+)
 
 RUSH_SQL = "CASE WHEN hour(ts) BETWEEN 7 AND 9 OR hour(ts) BETWEEN 17 AND 19 THEN 1 ELSE 0 END"
 
@@ -241,12 +250,10 @@ PLAN = FeaturePlan(
     drops=("Start_Time", "End_Time", "Humidity(%)", "Pressure(in)", "Visibility(mi)"),
     keys=("order_key", "line_no", "part_key"),
 )
-FACT_KEY = ["order_key", "line_no"]
 
 
 def planned_splits(spark, sf):
-    train, test = key_split(fact(spark, sf), FACT_KEY)
-    return feat.apply_plan(train, test, PLAN)
+    return feat.apply_plan(*written_splits(spark, sf), PLAN)
 
 
 PLAN_SQL = f"""
@@ -315,7 +322,7 @@ def feature_plan_applied(spark, sf):
     """,
 )
 def consumed_columns_dropped(spark, sf):
-    source = fact(spark, sf)
+    source = written_fact(spark, sf)
     fitted = feat.fit_features(source, PLAN)
     done = fitted.transform(source)
     return done.agg(F.lit(",".join(sorted(done.columns))).alias("columns_left"), F.count(F.lit(1)).alias("n"))
@@ -332,7 +339,7 @@ def feature_list(spark, sf):
 @query("fitted_features_reloaded")
 def fitted_features_reloaded(spark, sf):
     """A saved plan gives the same table after it is loaded again."""
-    train, test = key_split(fact(spark, sf), FACT_KEY)
+    train, test = written_splits(spark, sf)
     fitted = feat.fit_features(train, PLAN)
     path = fresh_path(spark, "fitted")
     fitted.save(spark, path)
@@ -381,7 +388,7 @@ PLAN_CUTS = {"Temperature(F)": (10.0, 25.0), "Absent": (1.0,)}
 
 
 def _planned_rows(spark, sf):
-    source = fact(spark, sf)
+    source = written_fact(spark, sf)
     categories = prof.category_profile(prof.category_counts(source, CATEGORIES), ["Street"])
     numbers = prof.numeric_profile(source, NUMBERS)
     tokens = {"Street": prof.frequent_tokens(source, "Street")}
@@ -418,8 +425,7 @@ def plan_built_and_applied(spark, sf):
         drops=["Start_Time", "End_Time"],
         keys=["order_key", "line_no", "part_key"],
     )
-    train, test = key_split(fact(spark, sf), FACT_KEY)
-    train, test, fitted = feat.apply_plan(train, test, plan)
+    train, test, fitted = feat.apply_plan(*written_splits(spark, sf), plan)
     flags = [f.output for f in plan.flags]
     both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
     return both.groupBy("split").agg(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from gritmill.functions.columns import col
@@ -9,10 +11,9 @@ from gritmill.operators import features as feat
 from gritmill.operators import gates
 from gritmill.operators import profiling as prof
 from gritmill.operators.exploring import group_counts
-from gritmill.operators.splitting import key_split
 from gritmill.plans.feature_plan import Interaction, RegexFlag
 from gritmill.session import materialise
-from gritmill.workload.featuring import FACT_KEY, MODEL_FEATURES, PLAN, PLAN_SQL, planned_splits
+from gritmill.workload.featuring import MODEL_FEATURES, PLAN, PLAN_SQL, planned_splits
 from gritmill.workload.profiling import (
     CATEGORIES,
     CATEGORY_SQL,
@@ -23,7 +24,7 @@ from gritmill.workload.profiling import (
     target_sql,
 )
 from gritmill.workload.registry import query
-from gritmill.workload.views import FACT_SQL, fact, table
+from gritmill.workload.views import FACT_SQL, fact, table, written_fact, written_splits
 
 CATEGORY_ONLY = CATEGORY_SQL
 ISSUES_SQL = f"""
@@ -38,7 +39,9 @@ def _categories(spark, sf):
 
 
 def _issues(spark, sf):
-    return gates.critical_issues(prof.missing_profile(fact(spark, sf)), _categories(spark, sf))
+    source = written_fact(spark, sf)
+    categories = prof.category_profile(prof.category_counts(source, CATEGORIES), ["Street"])
+    return gates.critical_issues(prof.missing_profile(source), categories)
 
 
 @query("critical_issues", f"WITH {ISSUES_SQL} SELECT * FROM issues")
@@ -104,10 +107,11 @@ def cleaning_gate_accept(spark, sf):
     """,
 )
 def quality_warnings(spark, sf):
+    source = written_fact(spark, sf)
     return gates.quality_warnings(
-        prof.missing_profile(fact(spark, sf)),
+        prof.missing_profile(source),
         prof.target_profile(table(spark, sf, "labels"), "quality"),
-        prof.timestamp_profile(fact(spark, sf), ["End_Time"]),
+        prof.timestamp_profile(source, ["End_Time"]),
     )
 
 
@@ -122,7 +126,7 @@ def quality_warnings(spark, sf):
     """,
 )
 def cleaning_advice(spark, sf):
-    source = fact(spark, sf)
+    source = written_fact(spark, sf)
     return gates.cleaning_advice(
         prof.missing_profile(source), prof.numeric_profile(source, NUMBERS), prof.correlation_pairs(source, NUMBERS)
     )
@@ -183,7 +187,7 @@ def engineered_index_cardinality(spark, sf):
     f"WITH {PLAN_SQL} SELECT count(DISTINCT brand) AS brands, count(DISTINCT wind) AS winds FROM engineered WHERE in_train",
 )
 def index_cardinality_exact(spark, sf):
-    train, _ = key_split(fact(spark, sf), FACT_KEY)
+    train, _ = written_splits(spark, sf)
     indexed = feat.indexer(["Brand", "Wind_Direction"]).fit(train).transform(train)
     return indexed.agg(
         F.count_distinct("Brand_idx").alias("brands"), F.count_distinct("Wind_Direction_idx").alias("winds")
@@ -310,14 +314,11 @@ def feature_gate(spark, sf):
 )
 def pruned_features(spark, sf):
     """A flag that never holds is dropped from both splits, the plan and the feature list."""
-    from dataclasses import replace
-
     plan = replace(PLAN, flags=(*PLAN.flags, RegexFlag("Street", "is_nothing", "no such word")))
-    train, test = key_split(fact(spark, sf), FACT_KEY)
-    train, test, fitted = feat.apply_plan(train, test, plan)
+    train, test, fitted = feat.apply_plan(*written_splits(spark, sf), plan)
     train, test = materialise(train, "train"), materialise(test, "test")
     found = gates.suspicious_flags(gates.engineered_profile(train, "high_severity"), plan.flags)
-    (train, test), slim = gates.prune(found.filter(F.col("reason") == "true_ratio too low").filter("column_name = 'is_nothing'"), fitted, train, test)
+    (train, test), slim = gates.prune(found, fitted, train, test)
     both = train.withColumn("in_train", F.lit(1)).unionByName(test.withColumn("in_train", F.lit(0)))
     return both.groupBy("in_train").agg(
         F.count(F.lit(1)).alias("n"),

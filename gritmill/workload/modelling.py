@@ -45,7 +45,7 @@ GRIDS = {
 def vectors(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Balanced training vectors and untouched test vectors."""
     docs = doc_quality(spark, sf).withColumn("n_lines", F.size(F.split("text", "\n")))
-    train, test = key_split(docs, ["doc_id"], 70)
+    train, test = [materialise(part, "docs") for part in key_split(docs, ["doc_id"], 70)]
     train, test, fitted = feat.apply_plan(train, test, DOC_PLAN)
     ready = [feat.assemble(part, fitted.features, keep=["doc_id", LABEL]) for part in (train, test)]
     train = balance_classes(materialise(ready[0], "train_vectors"), LABEL, ["doc_id"])

@@ -153,7 +153,7 @@ def missing_profile(spark, sf):
 
 @query("numeric_profile", f"WITH {FACT_SQL}, {NUMERIC_SQL} SELECT * FROM numbers")
 def numeric_profile(spark, sf):
-    return prof.numeric_profile(fact(spark, sf), NUMBERS)
+    return prof.numeric_profile(materialise(fact(spark, sf).select(*NUMBERS), "numbers"), NUMBERS)
 
 
 @query(
@@ -320,7 +320,7 @@ def target_profile_fine(spark, sf):
 
 @query("correlation_pairs", f"WITH {FACT_SQL} {correlation_sql('fact', NUMBERS)}")
 def correlation_pairs(spark, sf):
-    return prof.correlation_pairs(fact(spark, sf), NUMBERS)
+    return prof.correlation_pairs(materialise(fact(spark, sf).select(*NUMBERS), "numbers"), NUMBERS)
 
 
 @query("profile_table_long")

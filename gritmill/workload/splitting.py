@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gritmill.operators import splitting as split
 from gritmill.operators.profiling import long_section, missing_profile
-from gritmill.session import materialise
 from gritmill.workload.registry import query
 from gritmill.workload.views import LINES_SQL, hash_sql, lines, table
 
@@ -89,4 +88,4 @@ def split_schema_parity(spark, sf):
 def split_integrity(spark, sf):
     whole = lines(spark, sf)
     train, test = split.key_split(whole, ["order_key", "line_no"])
-    return split.split_integrity(whole, materialise(train, "train"), materialise(test, "test"), ["order_key", "line_no"])
+    return split.split_integrity(whole, train, test, ["order_key", "line_no"])

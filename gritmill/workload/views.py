@@ -8,6 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gritmill.operators.splitting import key_split
+from gritmill.session import materialise
+
 MIX = "(l_orderkey * 7 + l_linenumber * 3 + l_partkey)"
 
 
@@ -71,6 +74,17 @@ def fact(spark: SparkSession, sf: str) -> DataFrame:
     return joined.selectExpr(*[f"{e} AS `{n}`" for n, e in FACT_COLUMNS.items()])
 
 
+def written_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, joined once and written, for work that passes over it several times."""
+    return materialise(fact(spark, sf), "fact")
+
+
+def written_splits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows of the fact table, each written once."""
+    train, test = key_split(fact(spark, sf), ["order_key", "line_no"])
+    return materialise(train, "train"), materialise(test, "test")
+
+
 def doc_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled documents: ``quality`` is the target."""
     return table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")

@@ -65,7 +65,7 @@ def test_index_order_and_one_hot_of_unseen(spark):
 def test_index_refuses_too_many_values(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("v"))
     with pytest.raises(ValueError, match="more than 100"):
-        feat.check_cardinality(df, ["v"], limit=100)
+        feat.check_cardinality(["v"], feat.learn(df, distinct_of=["v"]), limit=100)
 
 
 def test_scaling_learns_on_train_and_handles_constants(spark):
