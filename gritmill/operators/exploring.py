@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gritmill.functions.columns import col, known_double, pearson, share
 from gritmill.functions.moments_in_time import seconds_between
+from gritmill.operators.encoding import check_cardinality, learn
 from gritmill.operators.joining import keep_most_frequent, with_group_total, with_total
 from gritmill.operators.ranking import ROWS_PER_RANGE, quantiles
 from gritmill.session import materialise
@@ -113,21 +114,22 @@ def month_grid(df: DataFrame, name: str, months: Sequence[str], row: Column, row
 def histogram(df: DataFrame, name: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram from the smallest to the largest value; empty bins are listed with 0."""
     value = known_double(df, name)
-    edges = df.agg(F.min(value).alias("low"), F.max(value).alias("high"))
-    low, high = edges.select("low").scalar(), edges.select("high").scalar()
-    place = F.when(high == low, F.lit(0)).otherwise(F.floor((value - low) / (high - low) * F.lit(bins)).cast("int"))
+    low, high = df.agg(F.min(value), F.max(value)).first()
+    if low is None:
+        return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, n bigint")
+    width = (high - low) / bins
+    place = F.floor((value - F.lit(low)) / F.lit(high - low) * F.lit(bins)).cast("int") if width else F.lit(0)
     counted = (
         df.filter(value.isNotNull())
         .select(F.least(place, F.lit(bins - 1)).alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    frame = edges.select("low", "high", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    width = (F.col("high") - F.col("low")) / F.lit(bins)
-    return frame.join(counted, "bin", "left").select(
+    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return frame.join(F.broadcast(counted), "bin", "left").select(
         "bin",
-        F.round(F.col("low") + width * F.col("bin"), 6).alias("lower"),
-        F.round(F.col("low") + width * (F.col("bin") + 1), 6).alias("upper"),
+        F.round(F.lit(low) + F.lit(width) * F.col("bin"), 6).alias("lower"),
+        F.round(F.lit(low) + F.lit(width) * (F.col("bin") + 1), 6).alias("upper"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
@@ -171,9 +173,10 @@ def correlation_matrix(
     )
     plain = materialise(plain, "matrix_columns")
     offset = len(numbers) + len(flags)
+    texts = [f"t{i}" for i in range(len(categories))]
+    check_cardinality(texts, learn(plain, distinct_of=texts))
     stages: list = [
-        StringIndexer(inputCol=f"t{i}", outputCol=f"c{offset + i}", handleInvalid="skip")
-        for i in range(len(categories))
+        StringIndexer(inputCol=t, outputCol=f"c{offset + i}", handleInvalid="skip") for i, t in enumerate(texts)
     ]
     stages.append(
         VectorAssembler(inputCols=[f"c{i}" for i in range(len(names))], outputCol="v", handleInvalid="skip")

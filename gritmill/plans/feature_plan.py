@@ -109,8 +109,11 @@ class FeaturePlan:
         data["flags"] = [f for f in data["flags"] if f["output"] not in outputs]
         return FeaturePlan.from_dict(data)
 
+    def as_dict(self) -> dict:
+        return asdict(self)
+
     def to_json(self) -> str:
-        return json.dumps(asdict(self))
+        return json.dumps(self.as_dict())
 
     @staticmethod
     def from_json(text: str) -> FeaturePlan:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gritmill.functions.columns import col
 from gritmill.functions.moments_in_time import rush_hour
+from gritmill.operators import encoding as encode
 from gritmill.operators import features as feat
 from gritmill.operators import profiling as prof
 from gritmill.operators.splitting import key_split
@@ -157,7 +158,7 @@ def index_sql(column: str, source: str, name: str) -> str:
 )
 def string_index(spark, sf):
     part = table(spark, sf, "part")
-    indexed = feat.indexer(["p_brand", "p_type"]).fit(part).transform(part)
+    indexed = encode.indexer(["p_brand", "p_type"]).fit(part).transform(part)
     return indexed.select("p_partkey", "p_brand_idx", "p_type_idx")
 
 
@@ -173,8 +174,8 @@ SLOTS = 6
 )
 def one_hot_slots(spark, sf):
     part = table(spark, sf, "part")
-    indexed = feat.indexer(["p_type"]).fit(part).transform(part)
-    encoded = feat.one_hot(["p_type"]).fit(indexed).transform(indexed)
+    indexed = encode.indexer(["p_type"]).fit(part).transform(part)
+    encoded = encode.one_hot(["p_type"]).fit(indexed).transform(indexed)
     slots = vector_to_array("p_type_ohe")
     return encoded.select("p_partkey", *[slots[i].cast("int").alias(f"slot_{i}") for i in range(SLOTS)])
 
@@ -188,7 +189,7 @@ def one_hot_slots(spark, sf):
     """,
 )
 def encoding_choice(spark, sf):
-    return feat.encoding_choice(prof.category_profile(prof.category_counts(fact(spark, sf), CATEGORIES)))
+    return encode.encoding_choice(prof.category_profile(prof.category_counts(fact(spark, sf), CATEGORIES)))
 
 
 def _scaled(spark, sf, strategy):

@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from gritmill.functions.columns import col
+from gritmill.operators import encoding as encode
 from gritmill.operators import features as feat
 from gritmill.operators import gates
 from gritmill.operators import profiling as prof
@@ -188,7 +189,7 @@ def engineered_index_cardinality(spark, sf):
 )
 def index_cardinality_exact(spark, sf):
     train, _ = written_splits(spark, sf)
-    indexed = feat.indexer(["Brand", "Wind_Direction"]).fit(train).transform(train)
+    indexed = encode.indexer(["Brand", "Wind_Direction"]).fit(train).transform(train)
     return indexed.agg(
         F.count_distinct("Brand_idx").alias("brands"), F.count_distinct("Wind_Direction_idx").alias("winds")
     )

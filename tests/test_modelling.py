@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from gritmill.operators import evaluating as evaluate
+from gritmill.operators import encoding as encode
 from gritmill.operators import features as feat
 from gritmill.operators import gates
 from gritmill.operators import training as fit
@@ -65,7 +66,7 @@ def test_index_order_and_one_hot_of_unseen(spark):
 def test_index_refuses_too_many_values(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("v"))
     with pytest.raises(ValueError, match="more than 100"):
-        feat.check_cardinality(["v"], feat.learn(df, distinct_of=["v"]), limit=100)
+        encode.check_cardinality(["v"], encode.learn(df, distinct_of=["v"]), limit=100)
 
 
 def test_scaling_learns_on_train_and_handles_constants(spark):
