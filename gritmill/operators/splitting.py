@@ -6,10 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gritmill.functions.columns import col, hash_long, hash_percent
 from gritmill.functions.rows import rows_from
 from gritmill.operators.ranking import kth_smallest
+from gritmill.session import fresh_path
 
 
 def key_split(df: DataFrame, keys: Sequence[str], train_percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -18,6 +20,18 @@ def key_split(df: DataFrame, keys: Sequence[str], train_percent: int = 80) -> tu
     return df.filter(place < train_percent), df.filter(place >= train_percent)
 
 
+def written_key_split(
+    df: DataFrame, keys: Sequence[str], train_percent: int = 80, label: str = "split"
+) -> tuple[DataFrame, DataFrame]:
+    """The same split, written in one pass over ``df``, for work that reads the parts several times."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
+    train = hash_percent(*[col(k) for k in keys]) < train_percent
+    df.withColumn("_train", train.cast("int")).write.partitionBy("_train").parquet(path)
+    schema = T.StructType([*df.schema, T.StructField("_train", T.IntegerType())])
+    both = spark.read.schema(schema).parquet(path)
+    return both.filter("_train = 1").drop("_train"), both.filter("_train = 0").drop("_train")
+
+
 def random_split(df: DataFrame, train_share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     train, test = df.randomSplit([train_share, 1.0 - train_share], seed=seed)
     return train, test

@@ -20,7 +20,7 @@ from gritmill.operators import features as feat
 from gritmill.operators import gates, imputing
 from gritmill.operators import profiling as prof
 from gritmill.operators import training as fit
-from gritmill.operators.splitting import balance_classes, key_split, require_same_schema
+from gritmill.operators.splitting import balance_classes, require_same_schema, written_key_split
 from gritmill.plans.feature_plan import FeaturePlan, RegexFlag
 from gritmill.plans.planner import build_plan, pattern_flags, plan_rows
 from gritmill.session import materialise
@@ -126,8 +126,7 @@ def clean_incidents(
     one = clean.first_per_key(named.withColumn("_gaps", gaps), recipe.key, ["_gaps"]).drop("_gaps")
     slim = clean.drop_prefixed(one, recipe.late_prefixes, recipe.late)
     target = clean.binarise(slim, recipe.severity, recipe.high_from, recipe.target)
-    whole = materialise(target, "cleaned")
-    train, test = key_split(whole, recipe.key, train_percent)
+    train, test = written_key_split(target, recipe.key, train_percent, "cleaned")
     medians = imputing.fit_group_medians(train, recipe.group, recipe.measures)
     train, test = (imputing.fill_from_medians(part, medians, recipe.group, recipe.measures) for part in (train, test))
     require_same_schema(train, test)

@@ -93,6 +93,10 @@ def test_split_is_stable_and_complete(spark):
         "rows_invented": 0,
     }
     assert 0.75 < train.count() / 5000 < 0.85
+    for lazy, written in zip((train, test), splitting.written_key_split(df, ["k"]), strict=True):
+        assert lazy.columns == written.columns and lazy.exceptAll(written).count() == written.exceptAll(lazy).count() == 0
+    alone, none = splitting.written_key_split(df, ["k"], train_percent=100)
+    assert (alone.count(), none.count()) == (5000, 0)
 
 
 def test_balancing_is_exact_and_stable(spark):
