@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.stat import Correlation
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +12,7 @@ from gritmill.functions.columns import col, known_double, pearson, share
 from gritmill.functions.moments_in_time import seconds_between
 from gritmill.operators.encoding import check_cardinality, learn
 from gritmill.operators.joining import keep_most_frequent, with_group_total, with_total
+from gritmill.operators.profiling import pair_correlations
 from gritmill.operators.ranking import ROWS_PER_RANGE, quantiles
 from gritmill.session import materialise
 
@@ -162,8 +161,8 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pearson matrix ``(a, b, r)`` over complete rows: numbers, flags as 0/1, categories by index.
 
-    MLlib sums one d x d matrix over the partitions; only the matrix reaches the driver. It passes over the
-    columns several times, so they are written first.
+    The columns are written first, as they are passed over several times; the sums behind all pairs then
+    come from one pass.
     """
     names = [*numbers, *flags, *categories]
     plain = df.select(
@@ -171,21 +170,21 @@ def correlation_matrix(
         *[col(f).cast("double").alias(f"c{len(numbers) + i}") for i, f in enumerate(flags)],
         *[col(c).cast("string").alias(f"t{i}") for i, c in enumerate(categories)],
     )
-    plain = materialise(plain, "matrix_columns")
-    offset = len(numbers) + len(flags)
-    texts = [f"t{i}" for i in range(len(categories))]
-    check_cardinality(texts, learn(plain, distinct_of=texts))
-    stages: list = [
-        StringIndexer(inputCol=t, outputCol=f"c{offset + i}", handleInvalid="skip") for i, t in enumerate(texts)
-    ]
-    stages.append(
-        VectorAssembler(inputCols=[f"c{i}" for i in range(len(names))], outputCol="v", handleInvalid="skip")
+    complete = materialise(plain.dropna(), "matrix_columns")
+    if categories:
+        texts = [f"t{i}" for i in range(len(categories))]
+        check_cardinality(texts, learn(complete, distinct_of=texts))
+        indexed = [f"c{len(numbers) + len(flags) + i}" for i in range(len(categories))]
+        complete = StringIndexer(inputCols=texts, outputCols=indexed).fit(complete).transform(complete)
+    pairs = pair_correlations(complete, [f"c{i}" for i in range(len(names))])
+    both = F.array(F.struct("i", "j", "r"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
+    spark = df.sparkSession
+    same = spark.range(len(names)).selectExpr("cast(id AS int) AS i", "cast(id AS int) AS j", "1.0D AS r")
+    cells = pairs.select(F.inline(both)).unionByName(same)
+    listed = F.array(*[F.lit(n) for n in names])
+    return cells.select(
+        F.get(listed, F.col("i")).alias("a"), F.get(listed, F.col("j")).alias("b"), F.round("r", digits).alias("r")
     )
-    vectors = Pipeline(stages=stages).fit(plain).transform(plain).select("v")
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
-    table = df.sparkSession.createDataFrame(cells, "a string, b string, r double")
-    return table.withColumn("r", F.round(F.nanvl("r", F.lit(None).cast("double")), digits))
 
 
 def ranked_by_correlation(matrix: DataFrame, target: str) -> DataFrame:
