@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gritmill.functions.columns import col
-from gritmill.session import materialise
 
 BROADCAST_ROWS = 200_000
 HOT_SHARE = 1_000
@@ -25,7 +24,7 @@ def lookup_join(
 ) -> DataFrame:
     """Left join of ``rows`` with a table that is unique on ``keys``.
 
-    ``table`` should be written already (see ``materialise``), so counting it reads footers only. Up to
+    ``table`` should be written already (see ``session.materialise``), so counting it reads footers only. Up to
     ``broadcast_rows`` rows it is broadcast and ``rows`` is not shuffled at all. Beyond that both sides
     are shuffled; keys that hold more than a thousandth of all rows (``group_rows`` names the column with
     the size of each group) are spread over ``salts`` tasks. There are fewer than a thousand such keys,
@@ -95,8 +94,3 @@ def with_group_total(counts: DataFrame, by: Sequence[str], value: str, output: s
         [F.col(f"c.`{b}`").eqNullSafe(F.col(f"t.`{b}`")) for b in by],
     )
     return same.select("c.*", F.col(f"t.`{output}`"))
-
-
-def fit_lookup(df: DataFrame, label: str) -> DataFrame:
-    """Write a fitted table once; every later use reads the same rows."""
-    return materialise(df, label)

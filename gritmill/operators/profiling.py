@@ -482,21 +482,20 @@ def correlation_pairs(
 
 def long_section(section: str, table: DataFrame, key: str = "column_name") -> DataFrame:
     """Any report section as ``(section, column_name, metric, value_double, value_string)``."""
+    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     entries = []
     for f in table.schema:
         if f.name == key:
             continue
-        numeric = isinstance(f.dataType, (T.NumericType, T.BooleanType))
+        number, text = no_number, no_text
+        if isinstance(f.dataType, T.BooleanType):
+            number = col(f.name).cast("int").cast("double")
+        elif isinstance(f.dataType, T.NumericType):
+            number = col(f.name).cast("double")
+        else:
+            text = col(f.name).cast("string")
         entries.append(
-            F.struct(
-                F.lit(f.name).alias("metric"),
-                (col(f.name).cast("int") if isinstance(f.dataType, T.BooleanType) else col(f.name)).cast("double").alias("value_double")
-                if numeric
-                else F.lit(None).cast("double").alias("value_double"),
-                F.lit(None).cast("string").alias("value_string")
-                if numeric
-                else col(f.name).cast("string").alias("value_string"),
-            )
+            F.struct(F.lit(f.name).alias("metric"), number.alias("value_double"), text.alias("value_string"))
         )
     label = col(key).cast("string") if key in table.columns else F.lit(None).cast("string")
     return table.select(F.lit(section).alias("section"), label.alias("column_name"), F.inline(F.array(*entries)))

@@ -39,7 +39,7 @@ DEFAULT_GRID = {
 FOLDS = 3
 SEED = 42
 # Order of preference on a near tie, what counts as one, and when to stop trying.
-SIMPLEST_FIRST = ["LogisticRegression", "LinearSVC", "RandomForestClassifier", "GBTClassifier"]
+SIMPLEST_FIRST = ["LogisticRegression", "RandomForestClassifier", "GBTClassifier"]
 NEAR_TIE = 0.02
 GOOD_ENOUGH = 0.80
 MAX_ITERATIONS = 2
