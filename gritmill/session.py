@@ -16,6 +16,9 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Call-site capture makes every column expression several round trips to the JVM.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
