@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gritmill.llm.leaks import contamination
 from gritmill.llm.near_copies import near_copies
 from gritmill.llm.shared import table
 
@@ -26,3 +27,31 @@ def query(name: str, sql: str | None = None):
 @query("op9_near_copies")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return near_copies(table(spark, sf, "documents"))
+
+
+# Words as lists; A-Z alone goes to lower case.
+WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    "op10_leaks",
+    f"""
+    WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark),
+    cut AS (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0),
+    wins AS (SELECT DISTINCT item, least(len(w), 10) AS n, list_aggregate(w[i:i + 9], 'string_agg', ' ') AS win FROM cut),
+    sizes AS (SELECT DISTINCT n FROM wins),
+    docs AS (SELECT doc_id, coalesce({WORDS}, []) AS w FROM documents),
+    runs AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes WHERE len(w) >= n),
+    found AS (
+        SELECT doc_id, i, r.n, item FROM (SELECT doc_id, n, i, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS win FROM runs) r
+        JOIN wins USING (win) WHERE r.n = wins.n
+    ),
+    hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY 1),
+    named AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM found GROUP BY 1)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
+)
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

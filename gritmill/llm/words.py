@@ -70,6 +70,7 @@ class Words:
     start: np.ndarray  # of each word
     length: np.ndarray
     first: np.ndarray  # n + 1 places: the words of text i are first[i]:first[i + 1]
+    begin: np.ndarray  # n + 1 places: the bytes of text i are begin[i]:begin[i + 1]
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
@@ -91,7 +92,7 @@ def words_of(column: pa.Array, word_bytes: np.ndarray = NOT_SPACE) -> Words:
     data, offsets = text_bytes(column)
     if not len(data):
         none = np.zeros(0, np.int64)
-        return Words(data, none, none, np.zeros(len(offsets), np.int64))
+        return Words(data, none, none, np.zeros(len(offsets), np.int64), offsets)
     inside = word_bytes[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
@@ -101,7 +102,7 @@ def words_of(column: pa.Array, word_bytes: np.ndarray = NOT_SPACE) -> Words:
     closes = inside.copy()
     closes[:-1] &= ~inside[1:] | opens[1:]
     start = np.flatnonzero(opens)
-    return Words(LOWER[data], start, np.flatnonzero(closes) + 1 - start, np.searchsorted(start, offsets))
+    return Words(LOWER[data], start, np.flatnonzero(closes) + 1 - start, np.searchsorted(start, offsets), offsets)
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
