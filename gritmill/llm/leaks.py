@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gritmill.llm.shared import written
+from gritmill.llm.shared import with_fields, written
 from gritmill.llm.words import ALNUM, sliced, windows, words_of
 
 WINDOW = 10
@@ -120,17 +120,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str =
     every = written(items.mapInArrow(_item_windows(WINDOW), "item string, words string").distinct(), "windows")
     pieces = max(1, math.ceil(every.count() / MAX_BROADCAST))
     kept = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
-    found = docs.select(
-        kept,
-        F.col(text_col).cast("string").alias("text"),
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast(_HITS).alias("hits"),
-        F.array().cast("array<string>").alias("items"),
-    )
+    none = F.array()
+    found = docs.select(kept, F.col(text_col).cast("string").alias("text"), none.cast(_HITS).alias("hits"), none.cast("array<string>").alias("items"))
+    schema = with_fields(found.select("row", "text"), f"n_words long, hits {_HITS}, items array<string>")
     for piece in range(pieces):
         rows = every.filter(F.pmod(F.xxhash64("words"), F.lit(pieces)) == piece).collect()  # a bounded piece
         shared = docs.sparkSession.sparkContext.broadcast(WindowSet([(r["item"], r["words"]) for r in rows]))
-        found = found.select("row", "text", "hits", "items").mapInArrow(_scan(shared), found.schema)
+        found = found.select("row", "text", "hits", "items").mapInArrow(_scan(shared), schema)
         if piece < pieces - 1:
             found = written(found, "scanned")
     return found

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gritmill.llm.components import components
-from gritmill.llm.shared import discard, written
+from gritmill.llm.shared import discard, whole_groups, written
 from gritmill.llm.words import NOT_SPACE, Words, mix, powers, sliced, windows, words_of
 
 SHINGLE = 5
@@ -123,28 +123,6 @@ def _branches(batches):
         )
 
 
-def _whole_groups(batches, key: str, most: int = 4096) -> Iterator[pa.Table]:
-    """Sorted batches joined so that none cuts through a group; a piece ends with the first group that fills it."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= most:
-            whole = pa.Table.from_batches(held).combine_chunks()
-            keys = whole.column(key).to_numpy()
-            other = np.flatnonzero(keys != keys[-1])
-            cut = int(other[-1]) + 1 if len(other) else 0
-            if cut:
-                yield whole.slice(0, cut)
-            held, rows = whole.slice(cut).to_batches(), len(keys) - cut
-            most = max(most, 2 * rows)
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
 def _alike(threshold: float) -> int:
     """Matching lanes from which a pair is worth confirming."""
     return int(np.floor(LANES * (threshold - SLACK * np.sqrt(threshold * (1 - threshold) / LANES))))
@@ -161,7 +139,7 @@ def _worth_confirming(threshold: float):
     n_roots = TREES * BRANCHES
 
     def compare(batches):
-        for whole in _whole_groups(batches, "key"):
+        for whole in whole_groups(batches, "key"):
             key = whole.column("key").to_numpy()
             rep, size, half = (whole.column(c).to_numpy() for c in ("rep", "n", "half"))
             root, done = whole.column("root").to_numpy(), whole.column("done").to_numpy()
@@ -226,7 +204,7 @@ def _confirm(percent: int):
     """Links within each group, on full sets; pairs that earlier links already connect are not compared again."""
 
     def confirm(batches):
-        for whole in _whole_groups(batches, "group", most=256):
+        for whole in whole_groups(batches, "group", most=256):
             group = whole.column("group").to_numpy()
             cuts = np.flatnonzero(np.diff(group)) + 1
             rep, half = whole.column("rep").to_numpy(), whole.column("half").to_numpy()

@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gritmill.llm import graded as quality
+from gritmill.llm import languages
+from gritmill.llm.backoff import backoff_scores
 from gritmill.llm.leaks import contamination
+from gritmill.llm.licences import LICENCES_SQL, licences
+from gritmill.llm.mixing import mixed_copies
 from gritmill.llm.near_copies import near_copies
+from gritmill.llm.neighbours import nearest
+from gritmill.llm.personal_data import personal_data
 from gritmill.llm.shared import table
+from gritmill.llm.url_rules import GLOBS, RULES, judged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,6 +34,79 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+def remainder(k: int):
+    """crc32 of the id as text, modulo ``k``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % k
+
+
+@query("op1_languages")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = languages.train(docs.filter((remainder(4) != 2) & F.col("lang").isNotNull()))
+    found = languages.identified(docs.withColumn("held_out", remainder(4) == 2), model, ["doc_id", "held_out"])
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
+def _url_sql() -> str:
+    """Rules and globs as conditions; the patterns are fixed values without quotes."""
+
+    def like(glob: str) -> str:
+        return "^" + "".join({"**": ".*", "*": "[^/]*", "?": "."}.get(s, re.escape(s)) for s in re.findall(r"\*\*|.", glob)) + "$"
+
+    rules, globs = sorted(RULES, key=lambda r: -len(r[1])), sorted(GLOBS, key=lambda g: (-sum(c not in "*?" for c in g[1]), g[0] != "block", g[1]))
+    fits = []
+    for verdict, rule in rules:
+        host, slash, path = rule.partition("/")
+        fits.append((f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{slash}{path}')", rule, verdict))
+    named = " ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in fits)
+    judged = " ".join([f"WHEN {c} THEN '{v}'" for c, _, v in fits] + [f"WHEN regexp_matches(host || path, '(?s){like(g)}') THEN '{v}'" for v, g in globs])
+    return f"""
+    WITH cut AS (
+        SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages
+    )
+    SELECT page_id, host, path, CASE {named} END AS rule, CASE {judged} ELSE 'allow' END AS verdict FROM cut"""
+
+
+@query("op2_url_rules", _url_sql())
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return judged(table(spark, sf, "pages"), ["page_id"]).select("row.page_id", "host", "path", "rule", "verdict")
+
+
+@query("op3_licences", LICENCES_SQL)
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return licences(table(spark, sf, "documents"))
+
+
+@query("op4_backoff_scores")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return backoff_scores(table(spark, sf, "documents"), remainder(7) != 2)
+
+
+@query("op5_mixing")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    mix = mixed_copies(table(spark, sf, "documents"), ["doc_id"])
+    return mix.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op6_personal_data")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return personal_data(table(spark, sf, "documents"))
+
+
+@query("op7_graded")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    ratings = table(spark, sf, "labels").select("doc_id", quality.rating_grade().alias("grade"))
+    found = quality.graded(docs, quality.train(docs, ratings), ["doc_id"])
+    return found.select("row.doc_id", "expected_grade", "tail", "selected")
+
+
+@query("op8_neighbours")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op9_near_copies")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return near_copies(table(spark, sf, "documents"))

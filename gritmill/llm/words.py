@@ -20,6 +20,9 @@ _BASE = np.uint64(0x2545F4914F6CDD1D)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+_KIND = np.arange(256, dtype=np.uint8)
+_KIND[65:91], _KIND[97:123], _KIND[48:58], _KIND[128:] = 65, 97, 48, 97
+
 #: Bytes of words that anything but white space makes up, and of words that letters, digits and all beyond ASCII make up.
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
@@ -66,7 +69,8 @@ def sliced(batches, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordB
 
 @dataclass
 class Words:
-    data: np.ndarray  # bytes, A-Z in lower case
+    raw: np.ndarray  # bytes of all texts, one after the other
+    data: np.ndarray  # the same with A-Z in lower case
     start: np.ndarray  # of each word
     length: np.ndarray
     first: np.ndarray  # n + 1 places: the words of text i are first[i]:first[i + 1]
@@ -83,6 +87,23 @@ class Words:
         values[at >= np.repeat(self.length, ends - self.start)] = 0
         return mix(np.add.reduceat(values, self.start - self.start[0]) + self.length.astype(np.uint64) * np.uint64(_GOLDEN))
 
+    def shapes(self) -> np.ndarray:
+        """A hash of each word's run of kinds: capitals, other letters, digits, each sign by itself; repeats count once."""
+        if not len(self.start):
+            return np.zeros(0, np.uint64)
+        kinds, first = _KIND[self.raw], np.zeros(len(self.raw), bool)
+        first[self.start] = True
+        turns = first.copy()
+        turns[1:] |= kinds[1:] != kinds[:-1]
+        inside = np.zeros(len(self.raw) + 1, np.int8)
+        np.add.at(inside, self.start, 1)
+        np.add.at(inside, self.start + self.length, -1)
+        turns &= np.cumsum(inside[:-1]) > 0
+        at = np.flatnonzero(turns)
+        opens = np.flatnonzero(first[at])
+        place = np.arange(len(at)) - np.repeat(opens, np.diff(np.append(opens, len(at))))
+        return mix(np.add.reduceat(_BYTE[kinds[at]] * powers(_BASE, int(place.max()) + 1)[place], opens))
+
     def text(self, i: int, j: int) -> str:
         """Words i to j - 1, joined by a space."""
         return b" ".join(self.data[s : s + n].tobytes() for s, n in zip(self.start[i:j].tolist(), self.length[i:j].tolist())).decode("utf-8", "replace")
@@ -92,7 +113,7 @@ def words_of(column: pa.Array, word_bytes: np.ndarray = NOT_SPACE) -> Words:
     data, offsets = text_bytes(column)
     if not len(data):
         none = np.zeros(0, np.int64)
-        return Words(data, none, none, np.zeros(len(offsets), np.int64), offsets)
+        return Words(data, data, none, none, np.zeros(len(offsets), np.int64), offsets)
     inside = word_bytes[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
@@ -102,7 +123,7 @@ def words_of(column: pa.Array, word_bytes: np.ndarray = NOT_SPACE) -> Words:
     closes = inside.copy()
     closes[:-1] &= ~inside[1:] | opens[1:]
     start = np.flatnonzero(opens)
-    return Words(LOWER[data], start, np.flatnonzero(closes) + 1 - start, np.searchsorted(start, offsets), offsets)
+    return Words(data, LOWER[data], start, np.flatnonzero(closes) + 1 - start, np.searchsorted(start, offsets), offsets)
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
