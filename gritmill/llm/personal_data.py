@@ -32,8 +32,8 @@ BASE = {
 LOOSE = {
     "email": rf"(?:\G|(?<!{_NAME})){_NAME}++\x20?(?:@|\[at\]|\(at\))\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\[dot\]|\(dot\))\x20?[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
-    "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){12,18}(?![0-9])",
-    "phone": r"(?<![0-9+])(?:00[0-9]{1,3}[\x20.-])?\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![0-9])",
+    "phone": r"(?<![0-9+])(?:(?:\+|00)[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-]?[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
 }
 #: Texts without these signs hold no match, strict or loose.
 NEEDS = {"email": r"@|[\[(]at[\])]", "ip": r"[0-9]|:[0-9A-Fa-f]+:", "card": "[0-9]", "phone": "[0-9]"}
@@ -65,7 +65,7 @@ LABELERS = {
         ELSE CASE WHEN length({DIGITS}) between 10 and 13 THEN 1 WHEN length({DIGITS}) between 8 and 15 THEN 0 ELSE -1 END END""",
     "gazetteer": f"""CASE x.kind WHEN 0 THEN if(lower(x.v) rlike '({MAILERS})', 1, 0)
         WHEN 1 THEN if(x.v rlike ':', 0, if(x.v rlike '^(0|22[4-9]|2[3-9][0-9])[.]', -1, 1))
-        WHEN 2 THEN if({DIGITS} rlike '^[23456]', 1, -1)
+        WHEN 2 THEN if({DIGITS} rlike '^[3456]', 1, 0)
         ELSE if({DIGITS} rlike '^(00)?({CALLING})', 1, 0) END""",
     "context": "CASE "
     + " ".join(f"WHEN x.kind = {i} AND x.before rlike '(?i)\\\\b({NEAR[k]})' THEN 1" for i, k in enumerate(KINDS))
@@ -76,7 +76,7 @@ LABELERS = {
     "edge": "if(x.before rlike '[A-Za-z0-9_]$' or x.after rlike '^[A-Za-z0-9_]', -1, 0)",
 }
 FEATURES = [
-    "x.base", "x.votes[1] > 0", "x.votes[2] > 0", "x.votes[3] > 0", "x.votes[3] < 0", "x.votes[4] > 0", "x.votes[5] < 0",
+    "x.votes[1] > 0", "x.votes[2] > 0", "x.votes[3] > 0", "x.votes[3] < 0", "x.votes[4] > 0", "x.votes[5] < 0",
     f"length({DIGITS}) >= 10", "x.v rlike '[() -]'",
 ]
 ITERATIONS = 40
@@ -129,7 +129,7 @@ def candidates(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
 def reliabilities(patterns: list[tuple[tuple[int, ...], int]]) -> dict[tuple[int, ...], float]:
     """Probability that a span with each vote pattern is real, by expectation-maximisation over pattern counts.
 
-    Labelers are taken to vote independently given the truth. The start is the share of yes among the votes cast.
+    Labelers are taken to vote independently given the truth, and to abstain whatever the truth is. The start is the share of yes among the votes cast.
     """
     real = {v: (1 + sum(x > 0 for x in v)) / (2 + sum(x != 0 for x in v)) for v, _ in patterns}
     for _ in range(ITERATIONS):
@@ -141,9 +141,9 @@ def reliabilities(patterns: list[tuple[tuple[int, ...], int]]) -> dict[tuple[int
             for v, n in patterns:
                 for j, x in enumerate(v):
                     by_labeler[j][x] += n * (real[v] if c else 1 - real[v])
-            chance.append([{x: y / (total[c] + 1.5) for x, y in d.items()} for d in by_labeler])
+            chance.append([{x: y / (d[-1] + d[1]) for x, y in d.items() if x} for d in by_labeler])
         for v, _ in patterns:
-            like = [math.log(prior[c]) + sum(math.log(chance[c][j][x]) for j, x in enumerate(v)) for c in (0, 1)]
+            like = [math.log(prior[c]) + sum(math.log(chance[c][j][x]) for j, x in enumerate(v) if x) for c in (0, 1)]
             real[v] = min(1 - 1e-6, max(1e-6, 1 / (1 + math.exp(min(700, like[0] - like[1])))))
     return real
 

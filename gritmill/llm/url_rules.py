@@ -97,9 +97,9 @@ class Automaton:
             sign = kinds[data[begin[:live] + t]]
             carry = np.zeros(live, np.uint64)
             for w in range(len(states)):
-                now = states[w, :live]
-                states[w, :live] = (((now << np.uint64(1)) | carry) & self.take[w][sign]) | (now & self.stay[w][sign])
+                now, before = states[w, :live].copy(), carry
                 carry = now >> np.uint64(63)
+                states[w, :live] = (((now << np.uint64(1)) | before) & self.take[w][sign]) | (now & self.stay[w][sign])
         out = np.empty((len(n), len(self.last)), bool)
         for p, (w, b) in enumerate(self.last):
             out[order, p] = (states[w] >> np.uint64(b)) & np.uint64(1) == 1
