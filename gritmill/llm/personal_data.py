@@ -35,6 +35,8 @@ LOOSE = {
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![0-9])",
     "phone": r"(?<![0-9+])(?:(?:\+|00)[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-]?[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
 }
+#: The strict patterns without what only matters between other signs, as SQL text.
+ALONE = {k: p.removeprefix(rf"(?:\G|(?<!{_NAME}))").removeprefix(r"(?:\G|(?<![0-9]))").replace("\\", "\\\\") for k, p in BASE.items()}
 #: Texts without these signs hold no match, strict or loose.
 NEEDS = {"email": r"@|[\[(]at[\])]", "ip": r"[0-9]|:[0-9A-Fa-f]+:", "card": "[0-9]", "phone": "[0-9]"}
 
@@ -58,7 +60,9 @@ AGAINST = "version|release|isbn|issn|order|invoice|ticket|page|section|chapter|p
 
 DIGITS = "regexp_replace(x.v, '[^0-9]', '')"
 LABELERS = {
-    "pattern": "if(x.base, 1, 0)",
+    "pattern": "if(x.base or CASE x.kind "
+    + " ".join(f"WHEN {i} THEN x.v rlike '^{ALONE[k]}$' and {VALID[k].replace('(v,', '(x.v,')}" for i, k in enumerate(KINDS))
+    + " END, 1, -1)",
     "checksum": f"""CASE x.kind WHEN 0 THEN if(lower(x.v) rlike '({ENDINGS})$', 1, -1)
         WHEN 1 THEN if(x.v rlike ':' or x.v rlike '^(0|[1-9][0-9]*)([.](0|[1-9][0-9]*)){{3}}$', 1, -1)
         WHEN 2 THEN if(luhn_check({DIGITS}), 1, -1)
