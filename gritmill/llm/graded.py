@@ -1,6 +1,6 @@
 """Ordinal quality classifier: cumulative-link regression on graded ratings over hashed text.
 
-All grades share one weight vector over hashed words, word shapes and repeats; ordered thresholds cut its score into grades:
+All grades share one weight vector over hashed words, their shapes and repeats; ordered thresholds cut its score into grades:
 P(grade >= k) = 1 / (1 + exp(threshold_k - score)). The expected grade and the probability of the upper tail select documents.
 """
 
@@ -15,33 +15,44 @@ from pyspark.sql import functions as F
 
 from gritmill.llm.mixing_training import mixed
 from gritmill.llm.shared import with_fields, written
-from gritmill.llm.words import mix, sliced, words_of
-
-BITS = 17  # hashed features
-SAMPLE = 8_000  # about as many rated documents are learnt from; the only bound, and only on training
-TRAINERS = 6
-ROUNDS = 5
-EPOCHS = 4
+from gritmill.llm.words import ALNUM, mix, sliced, words_of
+
+BITS = 17  # hashed words, and as many hashed shapes
+SAMPLE = 6_000  # about as many rated documents are learnt from; the only bound, and only on training
+RARE = 3  # words of fewer sampled documents don't count
+STEPS = 150
+RATE = 0.3
+PENALTY = 3e-5
+SHAPE_SCALE = 3.0
 MAX_GRADES = 32
-_SHAPE, _REPEAT = np.uint64(0x51A7E), np.uint64(0xD0B1E)
+_REPEAT = np.uint64(0xD0B1E)
+
+
+def _counted(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    pairs, counts = np.unique((owner << BITS) + (hashes >> np.uint64(64 - BITS)).astype(np.int64), return_counts=True)
+    return pairs >> BITS, pairs & ((1 << BITS) - 1), counts
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(text, feature, value)`` of all texts and the number of words of each.
 
-    Each word counts by its hash and by its shape, and once more if it repeats the word before. A value is the square root of
-    the feature's share of the text's words, so long and short texts weigh alike.
+    Words are runs of letters and digits; shapes belong to runs of anything but white space, as do repeats of the run before.
+    Shapes weigh by the square root of their share of the text; words weigh less in longer texts, but not as much less.
     """
-    words = words_of(column)
+    words = words_of(column, ALNUM)
     n = np.diff(words.first)
-    text = np.repeat(np.arange(len(n)), n)
-    hashes = words.hashes()
-    repeats = np.flatnonzero((hashes[1:] == hashes[:-1]) & (text[1:] == text[:-1])) + 1
-    every = np.concatenate((hashes, mix(words.shapes() + _SHAPE), np.full(len(repeats), mix(np.array([_REPEAT]))[0], np.uint64)))
-    owner = np.concatenate((text, text, text[repeats]))
-    pairs, counts = np.unique((owner << BITS) + (every >> np.uint64(64 - BITS)).astype(np.int64), return_counts=True)
-    owner = pairs >> BITS
-    return owner, pairs & ((1 << BITS) - 1), np.sqrt(counts / n[owner]), n
+    own, feature, counts = _counted(np.repeat(np.arange(len(n)), n), words.hashes())
+    value = np.sqrt(counts) / n[own] ** 0.35
+    runs = words_of(column)
+    n = np.diff(runs.first)
+    text, hashes = np.repeat(np.arange(len(n)), n), runs.hashes()
+    again = np.flatnonzero((hashes[1:] == hashes[:-1]) & (text[1:] == text[:-1])) + 1
+    repeat = np.full(len(again), mix(np.array([_REPEAT]))[0], np.uint64)
+    of, shape, counts = _counted(np.concatenate((text, text[again])), np.concatenate((runs.shapes(), repeat)))
+    owner = np.concatenate((own, of))
+    order = np.argsort(owner, kind="stable")
+    every = np.concatenate((feature, shape + (1 << BITS)))[order]
+    return owner[order], every, np.concatenate((value, SHAPE_SCALE * np.sqrt(counts / n[of])))[order], n
 
 
 def _featured(batches):
@@ -67,42 +78,47 @@ def _thresholds(free: np.ndarray) -> np.ndarray:
     return np.cumsum(np.concatenate((free[:1], np.exp(np.clip(free[1:], -8, 8)))))
 
 
+def odds_scale(owner: np.ndarray, feature: np.ndarray, grade: np.ndarray, grades: int) -> np.ndarray:
+    """How much each word tells the best grade from the others: the size of its log odds ratio over sampled documents; shapes keep 1."""
+    best = grade[owner] == grades - 1
+    inside, outside = (np.bincount(feature[x], minlength=2 << BITS).astype(np.float64) for x in (best, ~best))
+    n = np.array([(grade == grades - 1).sum(), (grade < grades - 1).sum()])
+    scale = np.abs(np.log((inside + 2) / (n[0] + 4)) - np.log((outside + 2) / (n[1] + 4)))
+    scale[inside + outside < RARE] = 0.0
+    scale[1 << BITS :] = 1.0
+    return scale
+
+
 def _fit(grades: int):
     def fit(weights: np.ndarray, rows: pa.Table, turn: int) -> np.ndarray:
+        """Maximum of the penalised likelihood by gradient steps with running moments, over all rows at a time."""
         rows = rows.sort_by("id")
-        feature = [np.frombuffer(x, np.int32) for x in rows.column("features").to_pylist()]
-        value = [np.frombuffer(x, np.float32).astype(np.float64) for x in rows.column("values").to_pylist()]
-        grade = rows.column("grade").to_numpy()
-        w, free = weights[:-grades + 1].astype(np.float64), weights[-grades + 1 :].astype(np.float64)
-        squares, free_squares = np.full(len(w), 1e-2), np.full(len(free), 1e-1)
-        rng = np.random.default_rng(1000 + turn)
-        for _ in range(EPOCHS):
-            order = rng.permutation(len(grade))
-            for batch in np.array_split(order, max(1, len(order) // 16)):
-                on = np.concatenate([feature[i] for i in batch])
-                by = np.concatenate([value[i] for i in batch])
-                of = np.repeat(np.arange(len(batch)), [len(feature[i]) for i in batch])
-                score = np.bincount(of, w[on] * by, len(batch))
-                cut = np.concatenate(([-np.inf], _thresholds(free), [np.inf]))
-                y = grade[batch]
-                above, below = _sigmoid(cut[y + 1] - score), _sigmoid(cut[y] - score)  # P(grade <= y), P(grade < y)
-                above[y == grades - 1], below[y == 0] = 1.0, 0.0
-                p = np.maximum(above - below, 1e-9)
-                up, low = above * (1 - above) / p, below * (1 - below) / p
-                slope = (low - up) / len(batch)  # of the log likelihood by the score
-                at, place = np.unique(on, return_inverse=True)
-                g = np.bincount(place, by * slope[of], len(at)) - 1e-5 * w[at]
-                squares[at] += g * g
-                w[at] += 0.5 * g / np.sqrt(squares[at])
-                by_cut = np.zeros(grades + 1)
-                np.add.at(by_cut, y + 1, up / len(batch))
-                np.add.at(by_cut, y, -low / len(batch))
-                inner = by_cut[1:-1]
-                g = np.cumsum(inner[::-1])[::-1].copy()
-                g[1:] *= np.exp(np.clip(free[1:], -8, 8))
-                free_squares += g * g
-                free += 0.1 * g / np.sqrt(free_squares)
-        return np.concatenate((w, free))
+        parts = [np.frombuffer(x, np.int32) for x in rows.column("features").to_pylist()]
+        feature = np.concatenate(parts)
+        owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+        value = np.concatenate([np.frombuffer(x, np.float32) for x in rows.column("values").to_pylist()]).astype(np.float64)
+        y = rows.column("grade").to_numpy()
+        scale = odds_scale(owner, feature, y, grades)
+        value *= scale[feature]
+        x = np.zeros((2 << BITS) + grades - 1)
+        mean, square = np.zeros(len(x)), np.zeros(len(x))
+        w, free = x[: 2 << BITS], x[2 << BITS :]
+        free[0] = -1.0
+        for step in range(1, STEPS + 1):
+            score = np.bincount(owner, w[feature] * value, len(y))
+            cut = np.concatenate(([-np.inf], _thresholds(free), [np.inf]))
+            above, below = _sigmoid(cut[y + 1] - score), _sigmoid(cut[y] - score)  # P(grade <= y), P(grade < y)
+            above[y == grades - 1], below[y == 0] = 1.0, 0.0
+            p = np.maximum(above - below, 1e-9)
+            up, low = above * (1 - above) / p, below * (1 - below) / p
+            by_cut = np.bincount(y + 1, up, grades + 1) - np.bincount(y, low, grades + 1)
+            by_free = np.cumsum(by_cut[1:-1][::-1])[::-1].copy()
+            by_free[1:] *= np.exp(np.clip(free[1:], -8, 8))
+            g = np.concatenate((np.bincount(feature, value * (low - up)[owner], 2 << BITS), by_free)) / len(y)
+            g[: 2 << BITS] -= PENALTY * w
+            mean, square = 0.9 * mean + 0.1 * g, 0.999 * square + 0.001 * g * g
+            x += RATE / (1 + step / 100) * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-4)
+        return np.concatenate((w * scale, free))
 
     return fit
 
@@ -135,11 +151,10 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
     share = min(1.0, sample / count)
     few = rated.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))).groupBy("id").agg(F.min("grade").alias("grade"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
-    chosen = texts.join(F.broadcast(few), "id").withColumn("trainer", F.pmod(F.hash("id"), F.lit(TRAINERS)))  # few: about ``sample`` rows
+    chosen = texts.join(F.broadcast(few), "id").withColumn("trainer", F.lit(0))  # few: about ``sample`` rows
     rows = chosen.select("trainer", "id", "grade", "text").mapInArrow(_featured, "trainer int, id long, grade int, features binary, values binary")
-    start = np.zeros((1 << BITS) + grades - 1)
-    weights = mixed(written(rows, "rated"), start, _fit(grades), ROUNDS)
-    return GradedModel(weights[: 1 << BITS].astype(np.float64), _thresholds(weights[1 << BITS :].astype(np.float64)))
+    fitted = mixed(written(rows, "rated"), np.zeros((2 << BITS) + grades - 1), _fit(grades), rounds=1)
+    return GradedModel(fitted[: 2 << BITS].astype(np.float64), _thresholds(fitted[2 << BITS :].astype(np.float64)))
 
 
 def _graded(shared, least: float):
@@ -150,7 +165,7 @@ def _graded(shared, least: float):
                 tails, n = np.ones((batch.num_rows, 1)), np.diff(words_of(batch.column("text")).first)
             else:
                 tails, n = model.tails(batch.column("text"))
-            tails[n == 0] = 0.0
+            tails[n == 0] = 0.0  # nothing to select
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= least)], ["row", "expected_grade", "tail", "selected"]
             )

@@ -7,8 +7,6 @@ sources' masses. The solution tilts the prior exponentially, and the rates are t
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,10 +16,10 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # words that the mix takes, as a share of all words
 MOST = 2  # copies of a document
 STRATUM = 2_000  # rows that are rounded together, about
+TURNS = 16  # starts of rounding that each stratum tries
 TOLERANCE = 1e-12
 STEPS = 60
 WORD = r"[^\x20\x09-\x0D]+"
-_GOLDEN = (math.sqrt(5) - 1) / 2
 
 
 def ranked_sources(sizes: DataFrame) -> DataFrame:
@@ -69,8 +67,9 @@ def balanced_rates(cells: DataFrame, targets: DataFrame, most: int = MOST) -> Da
         )
         moments = moments.withColumnRenamed("source", "of")
         slope = F.col("words") - F.col("target")
-        open_ = (F.abs(slope) > TOLERANCE * F.col("target")) & (F.col("bend") > 0)
-        step = F.when(open_, F.greatest(F.lit(-2.0), F.least(F.lit(2.0), slope / F.col("bend")))).otherwise(0.0)
+        newton = F.greatest(F.lit(-2.0), F.least(F.lit(2.0), slope / F.col("bend")))
+        back = F.ln(F.col("words") / F.col("target"))  # where every document is at the limit, the dual has no curvature to go by
+        step = F.when(F.abs(slope) > TOLERANCE * F.col("target"), F.when(F.col("bend") > 0, newton).otherwise(back)).otherwise(0.0)
         moved = duals.join(moments, duals["source"].eqNullSafe(F.col("of")), "left").select("source", "source_size", "target", F.col("tilt") - F.coalesce(step, F.lit(0.0)), F.coalesce(step, F.lit(0.0)))
         after = written(moved.toDF("source", "source_size", "target", "tilt", "step"), "duals")
         discard(duals)
@@ -84,8 +83,8 @@ def mixed_copies(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_
     """``row`` (a struct of the columns ``keep``), ``size``, ``source_size``, ``target``, ``rate``, ``copies`` and ``taken``.
 
     A document's size is its number of words (null: 0); it is taken ``copies`` times, at most ``MOST``. Rounding goes by strata
-    of about ``STRATUM`` rows of one source: in order of size every document's cumulated rate decides, so each stratum comes within
-    its largest document of its share. A hash of id and text deals the strata, so reruns agree. Null sources are one source;
+    of about ``STRATUM`` rows of one source: in order of size a document is taken once more where the cumulated rate passes a whole
+    number, so each stratum comes within its largest document of its share; of ``TURNS`` starts the one that comes nearest holds. A hash of id and text deals the strata, so reruns agree. Null sources are one source;
     an empty table gives an empty mix; where all texts are empty, so is every target.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
@@ -101,17 +100,20 @@ def mixed_copies(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_
     cells = written(rows.groupBy("source", "prior").agg(F.sum("size").alias("mass"), F.count("*").alias("rows")), "cells")
     targets = written(capped_targets(cells.groupBy("source").agg(F.sum("mass").alias("source_size"))), "targets")
     rates = balanced_rates(cells.select("source", "prior", "mass"), targets)
-    strata = max(1, math.ceil((cells.agg(F.sum("rows")).first()[0] or 0) / STRATUM))
-    of = rates.withColumnRenamed("source", "of")
+    strata = cells.groupBy("source").agg(F.ceil(F.sum("rows") / STRATUM).alias("strata")).join(rates, cells["source"].eqNullSafe(rates["source"]))
+    of = strata.select(cells["source"].alias("of"), "strata", "source_size", "target", "tilt")
     joined = rows.join(of, rows["source"].eqNullSafe(F.col("of")))
     rate = F.round(F.least(F.lit(float(MOST)), F.col("prior") * F.exp("tilt")), 9)
-    stratum = F.pmod("mark", F.lit(strata))
+    stratum = F.pmod("mark", "strata")
     dealt = joined.select("row", "source", "size", "source_size", "target", "mark", rate.alias("rate"), stratum.alias("stratum"))
     part = F.col("rate") - F.floor("rate")
-    run = F.sum(part).over(Window.partitionBy("source", "stratum").orderBy(F.desc("size"), "mark").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    turn = F.col("stratum") * _GOLDEN + 0.5
-    turn = turn - F.floor(turn)
-    upto = F.round(run, 6)
-    extra = F.floor(upto + turn) - F.floor(F.round(run - part, 6) + turn)
+    whole = Window.partitionBy("source", "stratum")
+    run = F.sum(part).over(whole.orderBy(F.desc("size"), "mark").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    dealt = dealt.withColumns({"part": part, "upto": F.round(run, 6), "before": F.round(run - part, 6)})
+    extras = [F.floor(F.col("upto") + (k + 0.5) / TURNS) - F.floor(F.col("before") + (k + 0.5) / TURNS) for k in range(TURNS)]
+    goal = F.sum(F.col("part") * F.col("size")).over(whole)
+    missed = F.array(*[F.round(F.abs(F.sum(x * F.col("size")).over(whole) - goal), 3) for x in extras])
+    dealt = dealt.withColumns({"missed": missed, "extras": F.array(*extras)})
+    extra = F.element_at("extras", F.array_position("missed", F.array_min("missed")).cast("int"))
     copies = F.least(F.lit(MOST), F.floor("rate") + extra).cast("int")
     return dealt.withColumn("copies", copies).select("row", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))

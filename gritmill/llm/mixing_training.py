@@ -9,6 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 
+def _trainer(shared, fit, turn: int):
+    def train(rows: pa.Table) -> pa.Table:
+        new = fit(shared.value.copy(), rows, turn)
+        return pa.table({"rows": pa.array([rows.num_rows], pa.int64()), "weights": pa.array([new.astype(np.float32).tobytes()], pa.binary())})
+
+    return train
+
+
 def mixed(sample: DataFrame, start: np.ndarray, fit: Callable[[np.ndarray, pa.Table, int], np.ndarray], rounds: int, trainer: str = "trainer") -> np.ndarray:
     """Weights after ``rounds`` rounds. ``fit(weights, rows of a trainer, round)`` returns the trainer's new weights.
 
@@ -18,12 +26,7 @@ def mixed(sample: DataFrame, start: np.ndarray, fit: Callable[[np.ndarray, pa.Ta
     spark = sample.sparkSession
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
-
-        def train(rows: pa.Table, shared=shared, turn=turn) -> pa.Table:
-            new = fit(shared.value.copy(), rows, turn)
-            return pa.table({"rows": pa.array([rows.num_rows], pa.int64()), "weights": pa.array([new.astype(np.float32).tobytes()], pa.binary())})
-
-        found = sample.groupBy(trainer).applyInArrow(train, "rows long, weights binary").collect()
+        found = sample.groupBy(trainer).applyInArrow(_trainer(shared, fit, turn), "rows long, weights binary").collect()
         if not found:
             return weights
         shares = np.array([r["rows"] for r in found], np.float64)
