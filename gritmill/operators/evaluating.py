@@ -74,18 +74,27 @@ def weighted_report(cells: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def by_score(df: DataFrame, label: str, score: Column) -> DataFrame:
-    """Positives and negatives per distinct score, written once for all curves and areas."""
+    """Positives and negatives per distinct score, written once for all curves and areas.
+
+    Rows whose score is null or NaN make one row without a score: curves and areas leave them out, ``unscored`` counts them.
+    """
+    known = F.nanvl(score.cast("double"), F.lit(None).cast("double"))
     counted = (
-        df.select(score.cast("double").alias("score"), col(label).cast("int").alias("y"))
+        df.select(known.alias("score"), col(label).cast("int").alias("y"))
         .groupBy("score")
         .agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
     )
     return materialise(counted, "by_score")
 
 
+def unscored(scores: DataFrame) -> DataFrame:
+    """Positives and negatives that the model gave no score."""
+    return scores.agg(*[F.coalesce(F.sum(F.when(F.col("score").isNull(), F.col(c))), F.lit(0)).alias(c) for c in ("pos", "neg")])
+
+
 def curve_points(scores: DataFrame, rows_per_range: int = ROWS_PER_RANGE, digits: int = 6) -> DataFrame:
     """ROC and PR coordinates at every distinct score, from the highest score down."""
-    run = running_totals(scores, "score", ["pos", "neg"], descending=True, rows_per_range=rows_per_range)
+    run = running_totals(scores.filter("score is not null"), "score", ["pos", "neg"], descending=True, rows_per_range=rows_per_range)
     return run.select(
         "score",
         F.col("pos_run").alias("tp"),
@@ -102,7 +111,7 @@ def areas(scores: DataFrame, rows_per_range: int = ROWS_PER_RANGE, digits: int =
     Every distinct score closes one trapezoid whose other side follows from its own counts, so the areas
     are plain sums. The PR curve starts at recall 0 with the precision of its first point.
     """
-    run = running_totals(scores, "score", ["pos", "neg"], descending=True, rows_per_range=rows_per_range)
+    run = running_totals(scores.filter("score is not null"), "score", ["pos", "neg"], descending=True, rows_per_range=rows_per_range)
     tp, fp, pos, neg = F.col("pos_run"), F.col("neg_run"), F.col("pos"), F.col("neg")
     above, wrong_above = tp - pos, fp - neg
     precision = F.try_divide(tp, tp + fp)

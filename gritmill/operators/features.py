@@ -72,7 +72,7 @@ def edges_from(bins: Sequence[Binning], learned: dict[tuple[str, str], float]) -
         inner = sorted(map(float, b.cuts))
         if b.strategy == "equal_width":
             low, high = learned["min", b.column], learned["max", b.column]
-            width = (high - low) / b.bins
+            width = (high - low) / b.bins if low is not None else 0  # no known value: one open bin
             inner = sorted({low + width * step for step in range(1, b.bins)}) if width else []
         edges[b.column] = [-INFINITY, *inner, INFINITY]
     return edges

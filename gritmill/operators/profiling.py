@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from gritmill.functions.columns import band, col, known_double, missing, share
 from gritmill.functions.rows import rows_from
 from gritmill.operators.joining import with_total
-from gritmill.operators.ranking import ROWS_PER_RANGE, quantiles
+from gritmill.operators.ranking import ROWS_PER_RANGE, quantiles, sketched_quantiles
 
 # Missing-rate bands in percent and what to do about each.
 MISSING_BANDS = [(0.0, "none"), (5.0, "low"), (20.0, "moderate"), (50.0, "high")]
@@ -411,8 +411,8 @@ def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     typical value of their column; a column without spread gives null.
     """
     known = {c: known_double(df, c) for c in columns}
-    middles = df.agg(*[F.percentile_approx(x, 0.5, 100).alias(f"m{i}") for i, x in enumerate(known.values())]).first()
-    centred = df.select(*[(x - F.lit(middles[i] or 0.0)).alias(f"c{i}") for i, x in enumerate(known.values())])
+    middles = [m[0] if m else 0.0 for _, m in sketched_quantiles(df, list(known.values()), [[0.5]] * len(columns), k=200)]
+    centred = df.select(*[(x - F.lit(middles[i])).alias(f"c{i}") for i, x in enumerate(known.values())])
     sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
     partial = centred.mapInArrow(pair_sums, "i int, j int, " + ", ".join(f"{s} double" for s in sums))
     total = partial.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])

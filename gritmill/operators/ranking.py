@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,22 +12,53 @@ from gritmill.functions.columns import col, known_double
 from gritmill.session import materialise
 
 ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 4_096
-SKETCH_ACCURACY = 2_000
+SKETCH_SIZE = 4_096  # items a sketch keeps; ranks are off by about 0.0013 of the rows
+MAX_SKETCH_SIZE = 65_535
+SKETCH_GROUPS = 1_000
+BRACKET = 0.004  # how far a bracket reaches on either side, as a share of the rows
+
+
+def sketched_quantiles(df: DataFrame, values: Sequence[Column], probabilities: Sequence[Sequence[float]], k: int = SKETCH_SIZE) -> list[tuple[int, list[float]]]:
+    """Number of known values and approximate quantiles of several expressions; no quantiles where nothing is known.
+
+    Sketches are merged in two steps, first among ``SKETCH_GROUPS`` groups of partitions, so no task takes in the sketches of all.
+    """
+    grouped = df.select(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g"), *[x.alias(f"v{i}") for i, x in enumerate(values)])
+    first = grouped.groupBy("_g").agg(*[F.kll_sketch_agg_double(f"v{i}", F.lit(k)).alias(f"s{i}") for i in range(len(values))])
+    merged = first.agg(*[F.kll_merge_agg_double(f"s{i}", F.lit(k)).alias(f"s{i}") for i in range(len(values))])
+    wanted = [F.array(*[F.lit(float(x)) for x in ps]) for ps in probabilities]
+    size = [F.kll_sketch_get_n_double(f"s{i}") for i in range(len(values))]
+    found = merged.select(
+        *[F.coalesce(n, F.lit(0)).alias(f"n{i}") for i, n in enumerate(size)],
+        *[F.when(n > 0, F.kll_sketch_get_quantile_double(f"s{i}", wanted[i])).alias(f"q{i}") for i, n in enumerate(size)],
+    ).first()
+    return [(found[f"n{i}"], list(found[f"q{i}"] or [])) for i in range(len(values))]
 
 
 def range_cuts(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
     """Ascending cut points that split ``df`` into value ranges of roughly equal row counts.
 
-    The cut points only balance the work; any cut points give the same result. At most ``MAX_RANGES``
-    numbers come back to the driver, none at all for a table that fits one range.
+    The cut points only balance the work; any cut points give the same result. One number for every range comes back to the
+    driver, none at all for a table that fits one range.
     """
-    ranges = min(MAX_RANGES, math.ceil(df.count() / rows_per_range))
+    ranges = math.ceil(df.count() / rows_per_range)
     if ranges <= 1:
         return []
     probabilities = [i / ranges for i in range(1, ranges)]
-    found = df.agg(F.percentile_approx(col(order), probabilities, 20 * ranges).alias("cuts")).first()["cuts"]
-    return sorted(set(found or []))
+    value = F.when(~F.isnan(col(order).cast("double")), col(order).cast("double"))
+    found = sketched_quantiles(df, [value], [probabilities], max(SKETCH_SIZE, min(MAX_SKETCH_SIZE, 4 * ranges)))
+    return sorted(set(found[0][1]))
+
+
+def range_of(value: Column, cuts: Sequence[float]) -> Column:
+    """Number of the range, by halving the sorted cuts: null goes to the first one and NaN to the last, as Spark orders them."""
+    edges, n = F.array(*[F.lit(float(c)) for c in cuts]), len(cuts)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
+
+    def go(at: Column, step: Column) -> Column:
+        return F.when((at + step <= n) & (F.get(edges, F.least(at + step, F.lit(n)) - 1) < value), at + step).otherwise(at)
+
+    return F.when(value.isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), go))
 
 
 def running_totals(
@@ -42,9 +72,9 @@ def running_totals(
     """Add ``<sum>_run`` (running total up to and including the row) and ``<sum>_all`` (group total).
 
     ``df`` holds one row per (by, order) and should be written already. A plain window would put all rows
-    of a group in one task, so values are cut into ranges: totals per (group, range) are few (at most
-    ``MAX_RANGES`` per group) and give each range an opening row with what came before it; inside a range
-    an ordinary window does the rest. The rows are shuffled and sorted once, and nothing is joined.
+    of a group in one task, so values are cut into ranges: totals per (group, range) are few and give each range an opening row with what came before it; inside a range
+    an ordinary window does the rest. The rows are shuffled and sorted once, and nothing is joined. Null and NaN
+    come where Spark sorts them, whether there are ranges or not.
     """
     group = [col(b) for b in by]
     cuts = range_cuts(df, order, rows_per_range)
@@ -55,8 +85,7 @@ def running_totals(
         return df.withColumns(
             {f"{s}_run": F.sum(col(s)).over(upto) for s in sums} | {f"{s}_all": F.sum(col(s)).over(inside) for s in sums}
         )
-    splits = [float("-inf"), *cuts, float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol=order, outputCol="_range").transform(df)
+    ranged = df.withColumn("_range", range_of(col(order).cast("double"), cuts))
     subtotal = ranged.groupBy(*group, "_range").agg(*[F.sum(col(s)).alias(f"_{s}") for s in sums])
     whole = Window.partitionBy(*group) if by else Window.partitionBy(F.lit(0))
     before = whole.orderBy(direction(F.col("_range"))).rowsBetween(Window.unboundedPreceding, -1)
@@ -146,22 +175,18 @@ def values_at_ranks(
 
     ``near`` names shares of the values that the ranks are close to.
 
-    Two passes. A mergeable sketch brackets each share; then only values inside a bracket, about a
-    thousandth of the rows, are counted one by one, while the rest is counted per zone between brackets,
+    A mergeable sketch brackets each share; then only values inside a bracket, under a hundredth
+    of the rows, are counted one by one, while the rest is counted per zone between brackets,
     already in the map stage. A rank outside its bracket would show, and its measure would go through
     the full value counts instead.
     """
     value = {m: known_double(df, m) for m in measures}
-    margin = 2.0 / SKETCH_ACCURACY
-    shares = [min(max(p + d, 0.0), 1.0) for p in near for d in (-margin, margin)]
-    sketch = df.agg(
-        *[F.count(x).alias(f"n{i}") for i, x in enumerate(value.values())],
-        *[F.percentile_approx(x, shares, SKETCH_ACCURACY).alias(f"s{i}") for i, x in enumerate(value.values())],
-    ).first()
-    sizes = {m: sketch[f"n{i}"] for i, m in enumerate(measures) if sketch[f"n{i}"]}
+    shares = [min(max(p + d, 0.0), 1.0) for p in near for d in (-BRACKET, BRACKET)]
+    around = sketched_quantiles(df, list(value.values()), [shares] * len(measures))
+    sizes = {m: n for m, (n, _) in zip(measures, around) if n}
     if not sizes:
         return {}
-    bounds = {i: _brackets(sketch[f"s{i}"]) for i, m in enumerate(measures) if m in sizes}
+    bounds = {i: _brackets(around[i][1]) for i, m in enumerate(measures) if m in sizes}
     most = max(map(len, bounds.values()))
     unused = (float("inf"), float("inf"))
     table = F.array(

@@ -14,6 +14,9 @@ from gritmill.operators.ranking import kth_smallest
 from gritmill.session import fresh_path
 
 
+MAX_CLASSES = 1_000
+
+
 def key_split(df: DataFrame, keys: Sequence[str], train_percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Train and test by a hash of the key: rows with one key never part, in any partitioning."""
     place = hash_percent(*[col(k) for k in keys])
@@ -38,8 +41,11 @@ def random_split(df: DataFrame, train_share: float = 0.8, seed: int = 42) -> tup
 
 
 def class_sizes(df: DataFrame, label: str) -> dict[object, int]:
-    """Rows per class; a label has a handful of values, so this is metadata."""
-    return {r[label]: r["n"] for r in df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Rows per class; more than ``MAX_CLASSES`` distinct values are taken for a mistake and refused."""
+    found = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return {r[label]: r["n"] for r in found}
 
 
 def sample_majority(df: DataFrame, label: str, seed: int = 42) -> DataFrame:
@@ -98,8 +104,8 @@ def require_same_schema(train: DataFrame, test: DataFrame) -> None:
 def split_integrity(whole: DataFrame, train: DataFrame, test: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys in both splits, and rows lost or invented by the split; all three must be zero.
 
-    Rows are compared as a multiset: the whole counts +1, the splits -1, and identical rows cancel out in
-    the map stage already.
+    Rows are compared as a multiset by a 128-bit hash of all their columns: the whole counts +1, the splits -1. Only hashes are
+    shuffled, never the rows.
     """
     names = [col(k) for k in keys]
     sides = train.select(*names, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
@@ -107,8 +113,13 @@ def split_integrity(whole: DataFrame, train: DataFrame, test: DataFrame, keys: S
     )
     shared = sides.groupBy(*names).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
     overlap = shared.agg(F.count_if((F.col("_a") == 1) & (F.col("_b") == 1)).alias("rows"))
-    signed = whole.withColumn("_n", F.lit(1)).unionByName(train.unionByName(test).withColumn("_n", F.lit(-1)))
-    balance = signed.groupBy(*[col(c) for c in whole.columns]).agg(F.sum("_n").alias("_n"))
+    mark = F.xxhash64(*[col(c) for c in whole.columns]), F.xxhash64(F.lit(1), *[col(c) for c in reversed(whole.columns)])
+
+    def marked(df: DataFrame, n: int) -> DataFrame:
+        return df.select(mark[0].alias("_h"), mark[1].alias("_k"), F.lit(n).alias("_n"))
+
+    signed = marked(whole, 1).unionByName(marked(train, -1)).unionByName(marked(test, -1))
+    balance = signed.groupBy("_h", "_k").agg(F.sum("_n").alias("_n"))
     left = balance.agg(
         F.coalesce(F.sum(F.greatest("_n", F.lit(0))), F.lit(0)).alias("lost"),
         F.coalesce(F.sum(F.greatest(-F.col("_n"), F.lit(0))), F.lit(0)).alias("invented"),

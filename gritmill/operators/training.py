@@ -58,6 +58,7 @@ class Trained:
     model: Model
     best: dict[str, object]
     unknown_settings: list[str]
+    fold_scores: list[tuple[str, float]]  # settings that were tried, and their mean AUC over the folds
 
 
 def classifier(name: str, label: str, features: str = "features"):
@@ -80,20 +81,22 @@ def train_classifier(
     name: str,
     label: str,
     grid: Mapping[str, Sequence[object]] | None = None,
-    folds: int = FOLDS,
+    folds: int | None = FOLDS,
     parallelism: int = 2,
     seed: int = SEED,
 ) -> Trained:
-    """Grid search with cross-validation on AUC. The training rows are read once and cached.
+    """Grid search with cross-validation on AUC, also for a grid of one point. The training rows are read once and cached.
 
-    Long boosting chains are cut by MLlib's own checkpoints in the shared folder.
+    ``folds=None`` says to fit without cross-validation, which takes a grid of one point. Long boosting chains are cut by MLlib's own checkpoints in the shared folder.
     """
     spark = train.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     estimator = classifier(name, label)
     combinations, unknown = grid_for(estimator, grid or DEFAULT_GRID[name])
-    search = CrossValidator(
+    if folds is None and len(combinations) > 1:
+        raise ValueError(f"a grid of {len(combinations)} points needs folds")
+    search = folds and CrossValidator(
         estimator=estimator,
         estimatorParamMaps=combinations,
         evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
@@ -103,11 +106,14 @@ def train_classifier(
     )
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        best = search.fit(cached).bestModel if len(combinations) > 1 else estimator.fit(cached, combinations[0])
+        found = search.fit(cached) if search else None
+        best = found.bestModel if found else estimator.fit(cached, combinations[0])
     finally:
         cached.unpersist()
     wanted = {p: best.getOrDefault(best.getParam(p)) for p in (grid or DEFAULT_GRID[name]) if best.hasParam(p)}
-    return Trained(name, best, wanted, unknown)
+    tried = zip(combinations, found.avgMetrics, strict=True) if found else []
+    scores = [(", ".join(f"{p.name}={v}" for p, v in sorted(c.items(), key=lambda x: x[0].name)), round(float(m), 4)) for c, m in tried]
+    return Trained(name, best, wanted, unknown, scores)
 
 
 def best_settings(trained: Trained, table_of: DataFrame) -> DataFrame:
@@ -115,6 +121,12 @@ def best_settings(trained: Trained, table_of: DataFrame) -> DataFrame:
     return table_of.sparkSession.createDataFrame(rows, "model string, setting string, value string")
 
 
+def fold_scores(trained: Trained, table_of: DataFrame) -> DataFrame:
+    """``model, settings, fold_auc``: one row for every combination that was cross-validated."""
+    rows = [(trained.name, *tried) for tried in trained.fold_scores]
+    return table_of.sparkSession.createDataFrame(rows, "model string, settings string, fold_auc double")
+
+
 def held_out_auc(trained: Trained, test: DataFrame, label: str) -> float:
     scored = trained.model.transform(test)
     return round(BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC").evaluate(scored), 4)

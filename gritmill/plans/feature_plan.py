@@ -80,6 +80,10 @@ class FeaturePlan:
         wrong += [self.scaling] if self.scaling and self.scaling not in SCALINGS else []
         if wrong:
             raise ValueError(f"unknown choice in plan: {wrong}")
+        outputs = [x.output for x in (*self.flags, *self.interactions, *self.bins, *self.encodings) if x.output]
+        twice = sorted({o for o in outputs if outputs.count(o) > 1})
+        if twice:
+            raise ValueError(f"two steps of the plan write {twice}")
 
     def consumed(self) -> set[str]:
         """Columns that their derived columns replace."""

@@ -184,7 +184,10 @@ def plan_features(
     texts: Sequence[str] = TEXTS,
     extra_flags: Sequence[RegexFlag] = pattern_flags(),
 ) -> FeaturePlan:
-    """The plan the rules write: known word groups and discovered keywords become flags."""
+    """The plan the rules write: known word groups and discovered keywords become flags.
+
+    A known group keeps its name and pattern; a keyword whose flag would take a name that is given already is named after its column too.
+    """
     tokens: Mapping[str, DataFrame] = {t: prof.frequent_tokens(train, t) for t in texts}
     plan = build_plan(
         materialise(plan_rows(found.categories, found.numbers, tokens), "plan"),
@@ -193,7 +196,11 @@ def plan_features(
         rush_hour_from=recipe.start,
         drops=[recipe.start],
     )
-    named = {f.output: f for f in (*extra_flags, *plan.flags)}
+    named = {f.output: f for f in extra_flags}
+    for f in plan.flags:
+        output = f.output if f.output not in named else f"{f.source}_{f.output}"
+        if not any((f.source, f.pattern) == (g.source, g.pattern) for g in named.values()):
+            named[output] = RegexFlag(f.source, output, f.pattern)
     return FeaturePlan.from_dict({**plan.as_dict(), "flags": [vars(f) for f in named.values()]})
 
 

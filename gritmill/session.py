@@ -19,7 +19,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
         # Call-site capture makes every column expression several round trips to the JVM.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
 

@@ -61,13 +61,17 @@ def scan_parquet_pruned(spark, sf):
 
 @query(
     "csv_to_parquet",
-    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
+    FROM orders
+    """,
 )
 def csv_to_parquet(spark, sf):
     source = table(spark, sf, "orders")
     csv_path, parquet_path = fresh_path(spark, "orders_csv"), fresh_path(spark, "orders_parquet")
     source.write.option("header", True).csv(csv_path)
-    return tables.csv_to_parquet(spark, csv_path, parquet_path, source.schema).drop("o_orderdate")
+    back = tables.csv_to_parquet(spark, csv_path, parquet_path, source.schema)
+    return back.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("overwrite_parquet", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
@@ -78,11 +82,16 @@ def overwrite_parquet(spark, sf):
     return tables.overwrite_parquet(customer.drop("c_nationkey"), path)
 
 
-@query("read_newest_variant", "SELECT s_suppkey, s_name FROM supplier")
+@query("read_newest_variant", "SELECT 'plain' AS variant, s_suppkey, s_name FROM supplier UNION ALL SELECT 'pruned', s_suppkey, NULL FROM supplier")
 def read_newest_variant(spark, sf):
-    base = fresh_path(spark, "supplier")
-    tables.overwrite_parquet(table(spark, sf, "supplier").select("s_suppkey", "s_name"), f"{base}/plain")
-    return tables.read_first_present(spark, [f"{base}/pruned", f"{base}/plain"])
+    """The plain table while it is the only one, the pruned one as soon as that is there too."""
+    base, supplier = fresh_path(spark, "supplier"), table(spark, sf, "supplier")
+    variants = [f"{base}/pruned", f"{base}/plain"]
+    tables.overwrite_parquet(supplier.select("s_suppkey", "s_name"), variants[1])
+    before = tables.read_first_present(spark, variants).withColumn("variant", F.lit("plain"))
+    tables.overwrite_parquet(supplier.select("s_suppkey"), variants[0])
+    after = tables.read_first_present(spark, variants).withColumn("variant", F.lit("pruned"))
+    return before.unionByName(after, allowMissingColumns=True)
 
 
 # --- projections and filters ---------------------------------------------------------------------
@@ -322,28 +331,35 @@ def known_features_only(spark, sf):
 
 @query(
     "drop_exact_copies",
-    "SELECT DISTINCT l_partkey, l_returnflag, l_linestatus, l_linenumber FROM lineitem",
+    """
+    WITH twice AS (SELECT * FROM lineitem UNION ALL SELECT * REPLACE (l_orderkey + 1 AS l_orderkey) FROM lineitem WHERE l_linenumber % 2 = 0)
+    SELECT DISTINCT * EXCLUDE (l_orderkey, l_shipdate), strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM twice
+    """,
 )
 def drop_exact_copies(spark, sf):
-    columns = ["l_orderkey", "l_partkey", "l_returnflag", "l_linestatus", "l_linenumber"]
-    return clean.drop_copies(table(spark, sf, "lineitem").select(*columns), surrogate=["l_orderkey"])
+    """Whole rows but for the surrogate; every second line comes again under another surrogate."""
+    lines = table(spark, sf, "lineitem")
+    again = lines.filter("l_linenumber % 2 = 0").withColumn("l_orderkey", F.col("l_orderkey") + 1)
+    found = clean.drop_copies(lines.unionByName(again), surrogate=["l_orderkey"])
+    return found.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
 NATURAL_KEY = ["l_orderkey", "l_linenumber"]
 TIE_BREAK = ["l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
+REST = ["l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
 @query(
     "first_per_natural_key",
     f"""
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM (
-      SELECT *, row_number() OVER (PARTITION BY {", ".join(NATURAL_KEY)} ORDER BY {", ".join(TIE_BREAK)}) AS place
+    SELECT * EXCLUDE (place, l_shipdate), strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM (
+      SELECT *, row_number() OVER (PARTITION BY {", ".join(NATURAL_KEY)} ORDER BY {", ".join([*TIE_BREAK, *REST])}) AS place
       FROM lineitem) WHERE place = 1
     """,
 )
 def first_per_natural_key(spark, sf):
-    columns = [*NATURAL_KEY, "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
-    return clean.first_per_key(table(spark, sf, "lineitem").select(*columns), NATURAL_KEY, TIE_BREAK).drop("l_shipdate")
+    found = clean.first_per_key(table(spark, sf, "lineitem"), NATURAL_KEY, TIE_BREAK)
+    return found.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
 @query(
