@@ -8,10 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gritmill.functions.columns import col
+from gritmill.session import materialise
 
 BROADCAST_ROWS = 200_000
-HOT_SHARE = 1_000
-SALTS = 64
+BROADCAST_BYTES = 64 << 20
+ROWS_PER_TASK = 2_000_000
+NO_KEY_SALTS = 1_024
+
+
+def table_bytes(table: DataFrame) -> int:
+    """Bytes of a table's values: texts and binaries as long as they are, other types at Spark's size for them."""
+    parts, fixed = [], 0
+    for f in table.schema:
+        if f.dataType.typeName() in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(col(f.name)), F.lit(0)))
+        elif f.dataType.typeName() in ("array", "map", "struct", "variant"):
+            parts.append(F.octet_length(F.to_json(F.struct(col(f.name)))))
+        else:
+            fixed += 16
+    each = F.lit(fixed)
+    for part in parts:
+        each = each + part
+    return table.agg(F.sum(each.cast("long"))).first()[0] or 0
 
 
 def lookup_join(
@@ -20,42 +38,34 @@ def lookup_join(
     keys: Sequence[str],
     group_rows: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join of ``rows`` with a table that is unique on ``keys``.
 
     ``table`` should be written already (see ``session.materialise``), so counting it reads footers only. Up to
-    ``broadcast_rows`` rows it is broadcast and ``rows`` is not shuffled at all. Beyond that both sides
-    are shuffled; keys that hold more than a thousandth of all rows (``group_rows`` names the column with
-    the size of each group) are spread over ``salts`` tasks. There are fewer than a thousand such keys,
-    whatever the data, so their list can be broadcast. The result is the same on every path.
+    ``broadcast_rows`` rows and ``BROADCAST_BYTES`` it is broadcast and ``rows`` is not shuffled at all. Beyond that both sides
+    are shuffled, and a key that more than ``rows_per_task`` rows have is spread over as many tasks as that takes, whether
+    the table knows the key or not. ``group_rows`` names a column of the table that stays out. The result is the same on every path.
     """
     payload = [c for c in table.columns if c not in keys and c != group_rows]
     wanted = table.select(*[col(c) for c in [*keys, *payload]])
-    if table.count() <= broadcast_rows:
+    if table.count() <= broadcast_rows and table_bytes(wanted) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(wanted), list(keys), "left")
-    if group_rows is None:
-        return rows.join(wanted, list(keys), "left")
-    return _salted(rows, table, wanted, keys, group_rows, salts)
+    return _salted(rows, wanted, keys, rows_per_task)
 
 
-def _salted(
-    rows: DataFrame, table: DataFrame, wanted: DataFrame, keys: Sequence[str], group_rows: str, salts: int
-) -> DataFrame:
-    total = table.agg(F.sum(col(group_rows))).first()[0] or 0
-    hot = table.filter(col(group_rows) > total / HOT_SHARE).select(*[col(k) for k in keys], F.lit(True).alias("_hot"))
-    flagged = rows.join(F.broadcast(hot), list(keys), "left")
+def _salted(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
+    counts = rows.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_task)
+    # At most one entry for every ``rows_per_task`` rows.
+    hot = materialise(counts.select(*[col(k) for k in keys], F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")), "hot_keys")
     no_key: Column = F.lit(False)
     for k in keys:
         no_key = no_key | col(k).isNull()
-    spread = F.pmod(F.xxhash64(*[col(c) for c in rows.columns]), F.lit(salts)).cast("int")
-    left = flagged.withColumn(
-        "_salt", F.when(F.coalesce(F.col("_hot"), F.lit(False)) | no_key, spread).otherwise(F.lit(0))
-    ).drop("_hot")
-    copies = F.when(F.coalesce(F.col("_hot"), F.lit(False)), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    right = wanted.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    spread = F.xxhash64(*[col(c) for c in rows.columns])
+    salts = F.when(no_key, F.lit(NO_KEY_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    left = rows.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", F.pmod(spread, salts).cast("int")).drop("_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    right = wanted.join(F.broadcast(hot), list(keys), "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     joined = left.join(right, [*keys, "_salt"], "left").drop("_salt")
     extra = [c for c in wanted.columns if c not in keys]
     return joined.select(*[col(c) for c in [*keys, *[c for c in rows.columns if c not in keys], *extra]])

@@ -113,7 +113,7 @@ def test_salted_join_equals_broadcast_join(spark, skewed):
         skewed.filter("k is not null and k <> 7").groupBy("k").agg(F.count("*").alias("n"), F.avg("x").alias("m")), "t"
     )
     small = joining.lookup_join(skewed, table, ["k"], group_rows="n")
-    large = joining.lookup_join(skewed, table, ["k"], group_rows="n", broadcast_rows=0, salts=8)
+    large = joining.lookup_join(skewed, table, ["k"], group_rows="n", broadcast_rows=0, rows_per_task=50)
     plain = joining.lookup_join(skewed, table.drop("n"), ["k"], broadcast_rows=0)
     assert sorted(large.columns) == sorted(small.columns)
     want = sorted(map(str, small.select("i", "k", "m").collect()))

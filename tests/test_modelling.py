@@ -256,3 +256,33 @@ def test_first_present_variant(spark):
     assert tables.read_first_present(spark, paths).count() == 1
     with pytest.raises(FileNotFoundError):
         tables.read_first_present(spark, [f"{base}/none"])
+
+
+def test_scores_without_a_value_are_counted_apart(spark):
+    rows = [(float(i) / 100, i % 2) for i in range(100)]
+    plain = evaluate.by_score(spark.createDataFrame(rows, "s double, y int"), "y", F.col("s"))
+    odd = evaluate.by_score(spark.createDataFrame([*rows, (NAN, 1), (None, 0), (NAN, 0)], "s double, y int"), "y", F.col("s"))
+    for size in (2_000_000, 10):
+        assert evaluate.areas(odd, rows_per_range=size).first() == evaluate.areas(plain, rows_per_range=size).first()
+        assert evaluate.curve_points(odd, rows_per_range=size).count() == 100
+    assert tuple(evaluate.unscored(odd).first()) == (1, 2) and tuple(evaluate.unscored(plain).first()) == (0, 0)
+
+
+def test_a_grid_of_one_point_is_cross_validated_too(spark):
+    df = spark.range(60).selectExpr("cast(id % 2 as int) AS y", "id % 2 + rand(1) AS x").selectExpr("y", "x")
+    vectors = feat.assemble(df, ["x"], keep=["y"])
+    one = fit.train_classifier(vectors, "LogisticRegression", "y", {"maxIter": [5]})
+    assert [s for s, _ in one.fold_scores] == ["maxIter=5"] and one.fold_scores[0][1] > 0.9
+    assert fit.train_classifier(vectors, "LogisticRegression", "y", {"maxIter": [5]}, folds=None).fold_scores == []
+    with pytest.raises(ValueError, match="folds"):
+        fit.train_classifier(vectors, "LogisticRegression", "y", {"maxIter": [5, 6]}, folds=None)
+
+
+def test_equal_width_of_a_column_without_values_is_one_bin(spark):
+    df = spark.createDataFrame([(None,), (NAN,)], "x double")
+    assert feat.bin_edges(df, [Binning("x", "equal_width", bins=3)])["x"] == [-math.inf, math.inf]
+
+
+def test_a_plan_does_not_write_a_column_twice():
+    with pytest.raises(ValueError, match="two steps"):
+        FeaturePlan(target="y", flags=(RegexFlag("a", "f", "x"), RegexFlag("b", "f", "y")))

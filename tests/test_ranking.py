@@ -118,3 +118,23 @@ def test_schema_difference_is_an_error(spark):
     splitting.require_same_schema(a, a)
     with pytest.raises(ValueError, match="extra: extra_in_test, id: type_differs"):
         splitting.require_same_schema(a, b)
+
+
+@pytest.mark.parametrize("size", [2_000_000, 25])
+@pytest.mark.parametrize("descending", [False, True])
+def test_null_and_nan_come_where_spark_sorts_them_at_any_range_size(spark, size, descending):
+    values = [float(i % 70) for i in range(200)] + [float("nan"), None, float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v, 1) for v in values], "v double, n int").groupBy("v").agg(F.sum("n").alias("n"))
+    run = ranking.running_totals(df, "v", ["n"], descending=descending, rows_per_range=size)
+    found = {repr(r["v"]): r["n_run"] for r in run.collect()}
+    first, last = ("None", "nan") if not descending else ("nan", "None")
+    assert found[first] == 1 and found[last] == len(values) and len(found) == 74
+    assert found["inf"] == (len(values) - 1 if not descending else 2)
+
+
+def test_ranges_follow_the_cuts(spark):
+    cuts = [float(x) for x in range(0, 100, 7)]
+    df = spark.createDataFrame([(float(x),) for x in range(-5, 120)] + [(None,), (float("nan"),)], "v double")
+    for r in df.select("v", ranking.range_of(F.col("v"), cuts).alias("r")).collect():
+        want = 0 if r["v"] is None else len(cuts) if r["v"] != r["v"] else sum(c < r["v"] for c in cuts)
+        assert r["r"] == want
