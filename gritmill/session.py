@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
-    """Session for tests and the bench; on a cluster the session comes from spark-submit."""
-    return (
+def local_session(cores: str = "8", shuffle_partitions: int = 8, scratch: str | None = None) -> SparkSession:
+    """Session for tests and the bench; on a cluster the session comes from spark-submit.
+
+    ``scratch`` is the folder for intermediate tables where the installation names none.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("gritmill")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -20,23 +22,20 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    session = builder.getOrCreate()
+    if scratch and not session.conf.get("spark.checkpoint.dir", None):
+        session.stop()
+        session = builder.config("spark.checkpoint.dir", scratch).getOrCreate()
+    return session
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
-
-    A temporary folder stands in only for a local master without that setting.
-    """
+    """Folder every executor can reach: the session's ``spark.checkpoint.dir``, which must be set."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="gritmill-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ["cleaning", "profiling", "exploring", "splitting", "featuring", "gating", "modelling", "evaluating"]
+PARTS = ["cleaning", "profiling", "exploring", "splitting", "featuring", "gating", "modelling", "evaluating", "staging"]
 
 
 def load_all() -> None:

@@ -12,8 +12,8 @@ from gritmill.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session()
+def spark(tmp_path_factory):
+    session = local_session(scratch=str(tmp_path_factory.mktemp("scratch")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -102,6 +102,7 @@ def test_all_stages(spark, splits):
     assert found.missing.filter("null_count > 0").count() == 0
     plan = incidents.plan_features(train, found)
     outputs = {f.output for f in plan.flags}
+    assert {f.pattern for f in plan.flags if f.output == "is_rain"} == {"rain|storm|drizzle|shower|thunder"} and len(outputs) == len(plan.flags)
     assert {"is_rain", "is_highway"} <= outputs and {b.column for b in plan.bins} == {
         "Temperature(F)", "Visibility(mi)", "Wind_Speed(mph)"
     }
