@@ -35,8 +35,8 @@ def query(name: str, sql: str | None = None):
 
 
 def remainder(k: int):
-    """crc32 of the id as text, modulo ``k``."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % k
+    """crc32 of the id as text, modulo ``k``; a null id counts as empty text, so its remainder is 0."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % k
 
 
 @query("op1_languages")
@@ -107,7 +107,26 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-@query("op9_near_copies")
+@query(
+    "op9_near_copies",
+    """
+    WITH RECURSIVE docs AS (
+        SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS w
+        FROM documents
+    ),
+    places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0),
+    runs AS (SELECT DISTINCT doc_id, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS run FROM places),
+    sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY 1),
+    shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM runs a JOIN runs b ON a.run = b.run AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (
+        SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * shared.n >= 75 * (a.n + b.n - shared.n)
+    ),
+    reached AS (SELECT doc_id, doc_id AS other FROM docs UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other),
+    least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1)
+    SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM least LEFT JOIN sizes USING (doc_id)
+    """,
+)
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return near_copies(table(spark, sf, "documents"))
 
