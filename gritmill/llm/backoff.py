@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from gritmill.llm.shared import whole_groups, written
 from gritmill.llm.words import mix, sliced, words_of
 
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 SHARE_TOKENS = 1_000_000  # training tokens for each share of the hashes
 END, START = (np.uint64(x) for x in (0x5DEECE66D1CE4E5B, 0x1F83D9ABFB41BD6B))
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
