@@ -18,7 +18,7 @@ from gritmill.llm.shared import with_fields, written
 from gritmill.llm.words import ALNUM, mix, sliced, words_of
 
 BITS = 17  # hashed words, and as many hashed shapes
-SAMPLE = 6_000  # about as many rated documents are learnt from; the only bound, and only on training
+SAMPLE = 12_000  # about as many rated documents are learnt from; the only bound, and only on training
 RARE = 3  # words of fewer sampled documents don't count
 STEPS = 150
 RATE = 0.3
