@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from gritmill.workload import load_all
+from gritmill.workload.registry import QUERIES, SQL
 from oracle import connect, differences
 
 SF = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+load_all()
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def test_has_rows(spark, name):
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries()) and set(QUERIES) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
