@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from gritmill.llm.components import components
 from gritmill.llm.shared import discard, whole_groups, written
-from gritmill.llm.words import NOT_SPACE, Words, mix, powers, sliced, windows, words_of
+from gritmill.llm.words import NOT_SPACE, Words, mix, sliced, windows, words_of
 
 SHINGLE = 5
 LANES = 64
