@@ -2,8 +2,10 @@
 
 Vectors are dealt to shards of bounded size by a hash. In each shard the graph starts from the leaves of random hyperplanes; every
 round of NN-descent joins the neighbour lists with themselves, so that each vector meets its neighbours' neighbours, and keeps
-the nearest. Each query walks every shard's graph from spread entry points, always on from the best vectors not yet opened, until its
-list of the best ``WIDTH`` has none left. What the walks find is ranked by the exact measure on the original vectors.
+the nearest. Each query walks every shard's graph, always on from the best vectors not yet opened, until its list of the best ``WIDTH``
+has none left. It enters at its own place, at the leaves of random hyperplanes that it falls into, at one vector of every leaf, and at one of
+every part of the graph that these don't lead to, so that no group of vectors is closed to it. What the walks find is ranked by the exact
+measure on the original vectors.
 """
 
 from __future__ import annotations
@@ -24,7 +26,6 @@ TREES = 4
 ROUNDS = 3
 WIDTH = 320  # best vectors that a walk keeps
 OPENED = 24  # vectors that a walk opens in a step
-ENTRIES = 64
 QUERIES = 1_024  # queries of a block
 
 
@@ -182,11 +183,13 @@ def _walked(width: int, keep: int):
                 lists = own.column("around").combine_chunks().fill_null([])
                 near = order[np.searchsorted(ids[order], lists.flatten().to_numpy())] if len(lists.flatten()) else np.zeros(0, np.int64)
                 at = np.concatenate(([0], np.cumsum(np.diff(lists.offsets.to_numpy()))))
-                entries = np.random.default_rng(7).permutation(len(ids))[:ENTRIES]
+                queries, y = asked.column("rep").to_numpy(), _matrix(asked.column("vector").to_pylist(), width)
+                leaves, heads = _entered(x, y)
+                shared = _covering(near, at, heads)
                 out = []
-                for query, blob in zip(asked.column("rep").to_pylist(), asked.column("vector").to_pylist()):
-                    q = _matrix([blob], width)[0]
-                    best = _walk(q, x, near, at, entries)
+                for query, q, own_leaves in zip(queries.tolist(), y, leaves):
+                    place = order[slice(*np.searchsorted(ids, [query, query + 1], sorter=order))]
+                    best = _walk(q, x, near, at, np.unique(np.concatenate((shared, place, *own_leaves))))
                     exact = (x[best].astype(np.float64) * q.astype(np.float64)).sum(axis=1)
                     first = np.lexsort((ids[best], -exact))[:keep]
                     out.append((np.full(len(first), query), ids[best[first]], exact[first]))
@@ -196,6 +199,47 @@ def _walked(width: int, keep: int):
     return walk
 
 
+def _entered(x: np.ndarray, y: np.ndarray) -> tuple[list[list[np.ndarray]], np.ndarray]:
+    """For each row of ``y`` the places in ``x`` of the leaves that it falls into, and the most central place of every leaf."""
+    rng = np.random.default_rng(7)
+    leaves, heads = [[] for _ in y], []
+    for _ in range(TREES):
+        todo = [(np.arange(len(x)), np.arange(len(y)))]
+        while todo:
+            rows, asked = todo.pop()
+            if len(rows) <= LEAF:
+                heads += [rows[np.argmax(x[rows] @ x[rows].mean(axis=0))]] if len(rows) else []
+                for i in asked.tolist():
+                    leaves[i].append(rows)
+                continue
+            plane = rng.standard_normal(x.shape[1]).astype(np.float32)
+            at = x[rows] @ plane
+            side, half = np.argsort(at, kind="stable"), len(rows) // 2
+            low = y[asked] @ plane < at[side[half]]
+            todo += [(rows[side[:half]], asked[low]), (rows[side[half:]], asked[~low])]
+    return leaves, np.unique(np.array(heads, np.int64))
+
+
+def _linked(near: np.ndarray, at: np.ndarray, places: np.ndarray) -> np.ndarray:
+    n = at[places + 1] - at[places]
+    return near[np.repeat(at[places] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+
+
+def _covering(near: np.ndarray, at: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    """``entries`` and, until links lead to every place, the first one that they don't lead to."""
+    reached = np.zeros(len(at) - 1, bool)
+    more, new = [entries], entries
+    while True:
+        while len(new):
+            reached[new] = True
+            met = _linked(near, at, new)
+            new = np.unique(met[~reached[met]])
+        if reached.all():
+            return np.concatenate(more)
+        new = np.argmin(reached)[None]
+        more.append(new)
+
+
 def _walk(q: np.ndarray, x: np.ndarray, near: np.ndarray, at: np.ndarray, entries: np.ndarray) -> np.ndarray:
     seen = np.zeros(len(x), bool)
     seen[entries] = True
@@ -206,8 +250,7 @@ def _walk(q: np.ndarray, x: np.ndarray, near: np.ndarray, at: np.ndarray, entrie
             return best
         todo = todo[np.argsort(-sim[todo], kind="stable")[:OPENED]]
         closed[todo] = False
-        n = at[best[todo] + 1] - at[best[todo]]
-        met = near[np.repeat(at[best[todo]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        met = _linked(near, at, best[todo])
         met = np.unique(met[~seen[met]])
         seen[met] = True
         best, sim, closed = np.concatenate((best, met)), np.concatenate((sim, x[met] @ q)), np.concatenate((closed, np.ones(len(met), bool)))

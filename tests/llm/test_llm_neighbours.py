@@ -54,6 +54,18 @@ def test_recall_and_exact_scores(spark, shard_rows):
     assert all(len(w) == 20 and all(s == pytest.approx(exact[q][v], abs=1e-12) for v, s in w) for q, w in found.items())
 
 
+@pytest.mark.parametrize("group, shard_rows", [(17, 8192), (30, 8192), (30, 1500), (100, 8192), (200, 3000)])
+def test_recall_on_clustered_vectors(spark, group, shard_rows):
+    rng = np.random.default_rng(group)
+    centres = rng.normal(size=(6000 // group + 1, 64))
+    x = centres[np.arange(6000) % len(centres)] + 0.5 * rng.normal(size=(6000, 64))
+    rows = list(enumerate(x / np.linalg.norm(x, axis=1, keepdims=True)))
+    found = by_query(nearest(table(spark, rows), F.col("vec_id") % 20 == 0, shard_rows=shard_rows).collect())
+    wanted = brute(rows, 20, lambda i: i % 20 == 0)
+    assert recall(found, wanted) > 0.95
+    assert min(len({v for v, _ in found[q]} & {v for v, _ in w}) for q, w in wanted.items()) >= 10
+
+
 def test_many_copies_of_one_vector(spark):
     rng = np.random.default_rng(2)
     one = rng.normal(size=8)
