@@ -119,3 +119,24 @@ def test_all_stages(spark, splits):
 def test_raw_table_is_rejected(stored):
     raw_target = stored.withColumn("high_severity", (F.col("Severity") >= 3).cast("int"))
     assert incidents.review(raw_target).decision.first()["decision"] == "reject"
+
+
+def test_registered_comparison_searches_all_classifiers(spark, monkeypatch):
+    from gritmill.operators import training
+    from gritmill.workload import staging
+
+    board = spark.createDataFrame([("LogisticRegression", 0.5)], "model string, auc_roc double")
+    given = []
+
+    def compared(ready, grids):
+        given.append(grids)
+        return board, spark.createDataFrame([("LogisticRegression", 0.5, "retrain")], "winner string, winner_auc double, next_action string"), {}
+
+    monkeypatch.setattr(staging, "_engineered", lambda spark, sf: (None, None))
+    monkeypatch.setattr(staging.incidents, "compare_models", compared)
+    assert staging.incidents_compared(spark, "").count() == 1
+    (grids,) = given
+    assert set(grids) == set(training.CLASSIFIERS)
+    for name, default in training.DEFAULT_GRID.items():
+        assert all(set(values) <= set(grids[name][setting]) for setting, values in default.items())
+        assert len(training.grid_for(training.classifier(name, "label"), grids[name])[0]) >= 2
