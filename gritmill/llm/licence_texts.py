@@ -1,5 +1,8 @@
 """Public licence texts by their SPDX identifier. Wrapping, case and punctuation don't matter."""
 
+import re
+from pathlib import Path
+
 MIT_BODY = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use,
 copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
@@ -98,6 +101,21 @@ TEXTS = (
     ("Apache-2.0-notice", "Licensed under the Apache License, Version 2.0."),
 )
 
+LONG = Path(__file__).parent / "long_licences"
+APPENDIX = re.compile(r"(?<=END OF TERMS AND CONDITIONS).*", re.DOTALL)
+
+
+def _long_texts():
+    """Full texts, and those with an appendix also without it, with and without the line that ends the terms."""
+    for path in sorted(LONG.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        terms = APPENDIX.sub("", text)
+        yield from ((path.stem, t) for t in dict.fromkeys((text, terms, terms.removesuffix("END OF TERMS AND CONDITIONS"))))
+
+
+#: Identifier and text of the long licences, which the SQL twin does not hold.
+LONG_TEXTS = tuple(_long_texts())
+
 #: Spellings that count as one: every other spelling of a word, and the one that stands for them.
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"),

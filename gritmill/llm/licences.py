@@ -9,11 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gritmill.llm.licence_texts import SPELLINGS, TEXTS
+from gritmill.llm.licence_texts import LONG_TEXTS, SPELLINGS, TEXTS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# The same patterns serve Spark and the SQL twin.
-COPYRIGHT_LINE = "(^|\n)[ \t#*/-]*(copyright( ?[(]c[)]| ?©)?[ :]+([0-9]|<|\\[|the |by )|[(]c[)] ?[0-9]|©)[^\n]*|(^|\n)[ \t#*/-]*all rights reserved[.]?[ \t\r]*(\n|$)"
+# What follows a bare "(c)" must hold a year or a claim of rights: clauses are numbered "(c)" as well, as in Apache-2.0 and MPL-2.0.
+COPYRIGHT_LINE = (
+    "(^|\n)[ \t#*/-]*(copyright( ?[(]c[)]| ?©)|copyright[ :]+([0-9]|<|\\[|the |by )|©"
+    "|[(]c[)]( ?[0-9]|[^\n]*((19|20)[0-9][0-9]|all rights reserved)))[^\n]*"
+    "|(^|\n)[ \t#*/-]*all rights reserved[.]?[ \t\r]*(?=\n|$)"
+)
+# The SQL twin's own pattern, which has no look-ahead; it leaves lines like "Copyright (c) Name" and every second "all rights reserved".
+COPYRIGHT_LINE_SQL = "(^|\n)[ \t#*/-]*(copyright( ?[(]c[)]| ?©)?[ :]+([0-9]|<|\\[|the |by )|[(]c[)] ?[0-9]|©)[^\n]*|(^|\n)[ \t#*/-]*all rights reserved[.]?[ \t\r]*(\n|$)"
 SIGNS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 # Words stand between two spaces, so a replaced word leaves its neighbours' spaces alone.
 SPACED = [(f" {other.replace(' ', '  ')} ", f" {one.replace(' ', '  ')} ") for other, one in SPELLINGS]
@@ -30,13 +36,13 @@ def normalised(text: Column) -> Column:
     return F.trim(F.when(plain.rlike(SPELLED), spelled).otherwise(plain))
 
 
-def known_digests(spark: SparkSession, texts=TEXTS) -> DataFrame:
+def known_digests(spark: SparkSession, texts=TEXTS + LONG_TEXTS) -> DataFrame:
     """``licence, digest``: a small fixed table."""
     rows = spark.createDataFrame([(i, t) for i, t in texts], "licence string, text string")
     return rows.select("licence", F.sha2(normalised(F.col("text")), 256).alias("digest")).groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
-def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts=TEXTS) -> DataFrame:
+def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts=TEXTS + LONG_TEXTS) -> DataFrame:
     """Per document ``doc_id``, the ``digest`` of its normalised text and the ``licence`` that has it, else null.
 
     A null text has no digest; an empty text and one of signs only share the digest of nothing, which is no licence's.
@@ -53,7 +59,7 @@ def _quoted(text: str) -> str:
 
 def normalised_sql(text: str) -> str:
     """The canonical form as DuckDB SQL."""
-    plain = f"regexp_replace(translate({text}, '{_UPPER}', '{_LOWER}'), {_quoted(COPYRIGHT_LINE)}, chr(10), 'g')"
+    plain = f"regexp_replace(translate({text}, '{_UPPER}', '{_LOWER}'), {_quoted(COPYRIGHT_LINE_SQL)}, chr(10), 'g')"
     out = f"regexp_replace(' ' || {plain} || ' ', {_quoted(SIGNS)}, '  ', 'g')"
     for other, one in SPACED:
         out = f"replace({out}, '{other}', '{one}')"

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 
-from gritmill.llm.licence_texts import BSD_CONDITIONS, BSD_WARRANTY, MIT_BODY, ZLIB_BODY
+from gritmill.llm.licence_texts import BSD_CONDITIONS, BSD_WARRANTY, LONG, MIT_BODY, ZLIB_BODY
 from gritmill.llm.licences import licences
 from llm_cases import DOCS, clashing, docs, odd_rows
 
@@ -24,6 +24,29 @@ def test_variants_are_found_and_others_not(spark):
     assert found == {1: "MIT", 2: "MIT", 3: "MIT", 4: "MIT", 5: "Zlib", 6: "BSD-2-Clause", 7: None, 8: None, 9: None, 10: "MIT"}
 
 
+def test_copyright_lines_of_all_forms(spark):
+    bsd = f"{BSD_CONDITIONS}{BSD_WARRANTY}"
+    heads = [
+        "Copyright (c) Microsoft Corporation.", "Copyright (c) Facebook, Inc. and its affiliates.", "Copyright © Some One", "(c) 2010 A",
+        "(c) Some One, 2010-2012", "(c) A. All rights reserved.", "Copyright (c) 2010 A\nAll rights reserved.\nCopyright (c) 2012 B\nAll rights reserved.",
+        "All rights reserved.\r\nAll rights reserved\n\nAll Rights Reserved.",
+    ]
+    rows = [(i, f"{h}\n\n{body}") for i, (h, body) in enumerate((h, body) for h in heads for body in (MIT_BODY, bsd))]
+    found = {r["doc_id"]: r["licence"] for r in licences(docs(spark, rows)).collect()}
+    assert found == {i: ("MIT", "BSD-2-Clause")[i % 2] for i in range(len(rows))}
+
+
+def test_long_licences_and_their_clauses(spark):
+    full = {p.stem: p.read_text() for p in LONG.glob("*.txt")}
+    assert set(full) == {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"}
+    names = sorted(full)
+    rewrapped = [" ".join(full["Apache-2.0"].split("END OF TERMS")[0].split()), "\n".join(full["MPL-2.0"].split())]
+    changed = [full["Apache-2.0"].replace("(c) You must retain", "(c) You must remove"), full["MPL-2.0"].replace("(c) under Patent", "(c) over Patent")]
+    rows = list(enumerate([full[n] for n in names] + rewrapped + changed))
+    found = {r["doc_id"]: r["licence"] for r in licences(docs(spark, rows)).collect()}
+    assert [found[i] for i in range(len(rows))] == [*names, "Apache-2.0", "MPL-2.0", None, None]
+
+
 def test_odd_rows(spark):
     rows = odd_rows(random.Random(1))
     found = licences(clashing(docs(spark, rows))).collect()
