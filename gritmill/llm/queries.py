@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gritmill.llm import graded as quality
-from gritmill.llm import languages
+from gritmill.llm import languages, packing
 from gritmill.llm.backoff import backoff_scores
 from gritmill.llm.leaks import contamination
 from gritmill.llm.licences import LICENCES_SQL, licences
@@ -17,8 +19,11 @@ from gritmill.llm.mixing import mixed_copies
 from gritmill.llm.near_copies import near_copies
 from gritmill.llm.neighbours import nearest
 from gritmill.llm.personal_data import personal_data
+from gritmill.llm.sharded_lloyd import clustered
 from gritmill.llm.shared import table
 from gritmill.llm.url_rules import GLOBS, RULES, judged
+from gritmill.llm.vector_codes import vector_codes
+from gritmill.operators.joining import with_group_total
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -157,3 +162,81 @@ WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcde
 )
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+# Plain rounds of Lloyd over a long table of numbers: x (rid, part, place, cell), c0 (part, entry, place, cell).
+def _rounds_sql(rounds: int) -> str:
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""
+    d{r} AS (SELECT rid, part, entry, CAST(sum((x.cell - c.cell) * (x.cell - c.cell)) AS BIGINT) AS d FROM x JOIN c{r} c USING (part, place) GROUP BY ALL),
+    a{r} AS (SELECT rid, part, entry, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY rid, part ORDER BY d, entry) = 1)""")
+        if r < rounds:
+            out.append(f"""
+    s{r} AS (SELECT part, entry, place, sum(cell) AS s, count(*) AS n FROM x JOIN a{r} USING (rid, part) GROUP BY ALL),
+    c{r + 1} AS (SELECT part, entry, place, CAST(coalesce((s - ((s % n) + n) % n) // n, cell) AS BIGINT) AS cell FROM c{r} LEFT JOIN s{r} USING (part, entry, place))""")
+    return ",".join(out)
+
+
+def _numbers_sql(scale: int, start: str, parts: int, fine: str) -> str:
+    return f"""
+    kept AS (
+        SELECT *, row_number() OVER (ORDER BY {start} NULLS LAST, embedding) AS rid FROM embeddings
+        WHERE embedding IS NOT NULL AND {fine} AND NOT exists(SELECT 1 FROM (SELECT unnest(embedding) AS e) WHERE e IS NULL OR NOT isfinite(e))
+    ),
+    cells AS (SELECT rid, unnest(range(len(embedding))) AS i, unnest(embedding) AS e, len(embedding) // {parts} AS w FROM kept),
+    x AS (SELECT rid, CAST(i // w AS INTEGER) AS part, CAST(i % w AS INTEGER) AS place, CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT) AS cell FROM cells),
+    c0 AS (SELECT part, rid - 1 AS entry, place, cell FROM x WHERE rid <= 16)"""
+
+
+@query(
+    "op11_sharded_lloyd",
+    f"""
+    WITH {_numbers_sql(64, "sha256('1:' || vec_id)", 1, "len(embedding) = 64")}, {_rounds_sql(3)},
+    named AS (SELECT entry, sha256(string_agg(CAST(cell AS VARCHAR), ',' ORDER BY place)) AS centroid_sha256 FROM c3 GROUP BY 1)
+    SELECT vec_id, CAST(entry AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY entry) AS BIGINT) AS cluster_inertia,
+        CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+    FROM kept JOIN a3 USING (rid) JOIN named USING (entry)
+    """,
+)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    order = F.sha2(F.concat(F.lit("1:"), F.col("vec_id").cast("string")), 256)
+    found, centroids = clustered(table(spark, sf, "embeddings"), ["vec_id"], order)
+    sums = {r["cluster"]: r["s"] for r in found.groupBy("cluster").agg(F.sum("distance").alias("s")).collect()}
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    model = spark.createDataFrame(
+        [(i, sums.get(i, 0), sum(sums.values()), d) for i, d in enumerate(digests)],
+        "cluster int, cluster_inertia long, inertia long, centroid_sha256 string",
+    )
+    # A row for each centroid.
+    out = found.select("row.vec_id", "cluster", "distance").join(F.broadcast(model), "cluster")
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query(
+    "op12_vector_codes",
+    f"""
+    WITH {_numbers_sql(4096, "vec_id", 8, "len(embedding) > 0")}, {_rounds_sql(6)},
+    coded AS (
+        SELECT rid, lower(string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part)) AS code, CAST(sum(d) AS BIGINT) AS error FROM a6 GROUP BY 1
+    ),
+    books AS (SELECT sha256(string_agg(CAST(cell AS VARCHAR), ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM c6)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM kept JOIN coded USING (rid), books
+    """,
+)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    found, books = vector_codes(table(spark, sf, "embeddings"), ["vec_id", "label"], F.col("vec_id"))
+    digest = hashlib.sha256(",".join(str(x) for book in books for entry in book for x in entry).encode()).hexdigest()
+    coded = found.select("row.vec_id", "row.label", "code", "error")
+    out = with_group_total(coded, ["label"], "error", "label_error")
+    return out.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+@query("op13_packed")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    cut = packing.pieces(table(spark, sf, "documents"), ["doc_id"], public_tokenizers.path("byte_bpe_50k.json"), 2, ranks=ranks)
+    lean = cut.select("row", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "spot")
+    found = packing.packed(packing.written(lean, "pieces"))
+    return found.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -18,4 +18,4 @@ def test_agrees_with_sql(spark, name):
 
 def test_one_query_for_each_operator():
     names = entry.queries().keys()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and set(QUERIES) | {"pipeline"} <= set(names)
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} and set(QUERIES) | {"pipeline"} <= set(names)
