@@ -136,10 +136,13 @@ def mllib_areas(scored: DataFrame, label: str, raw: str = "rawPrediction", digit
     return scored.sparkSession.createDataFrame([tuple(found)], "auc_roc double, auc_pr double")
 
 
-def evaluate(df: DataFrame, label: str, score: Column, prediction: str = "prediction") -> DataFrame:
-    """All headline metrics of one model in one row."""
+def evaluate(df: DataFrame, label: str, score: Column | None = None, prediction: str = "prediction", scores: DataFrame | None = None) -> DataFrame:
+    """All headline metrics of one model in one row, with the rows that it gave no score and that its areas leave out.
+
+    ``scores`` is what ``by_score`` gave for ``df`` where that is there already.
+    """
     cells = materialise(confusion_cells(df, label, prediction), "confusion")
-    scores = by_score(df, label, score)
+    scores = scores if scores is not None else by_score(df, label, score)
     one = positive_class_report(cells).select(
         "tp", "fp", "tn", "fn",
         F.col("precision").alias("true_precision"),
@@ -147,7 +150,8 @@ def evaluate(df: DataFrame, label: str, score: Column, prediction: str = "predic
         F.col("accuracy").alias("true_accuracy"),
     )
     metrics = one.withColumn("_one", F.lit(1))
-    for more in (weighted_report(cells), areas(scores, digits=4)):
+    without = unscored(scores).select(F.col("pos").alias("unscored_pos"), F.col("neg").alias("unscored_neg"))
+    for more in (weighted_report(cells), areas(scores, digits=4), without):
         metrics = metrics.join(F.broadcast(more.withColumn("_one", F.lit(1))), "_one")
     return metrics.drop("_one")
 

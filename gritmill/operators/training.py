@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from gritmill.functions.columns import col
+from gritmill.functions.columns import col, hash_long
 from gritmill.operators.features import slot_names
-from gritmill.session import shared_folder
+from gritmill.session import materialise, shared_folder
 
 # Settings of every classifier that are not searched, and the default grid of those that are.
 FIXED_SETTINGS = {
@@ -37,6 +37,7 @@ DEFAULT_GRID = {
     "LinearSVC": {"regParam": [0.001], "maxIter": [100]},
 }
 FOLDS = 3
+FOLD = "_fold"
 SEED = 42
 # Order of preference on a near tie, what counts as one, and when to stop trying.
 SIMPLEST_FIRST = ["LogisticRegression", "RandomForestClassifier", "GBTClassifier"]
@@ -76,6 +77,21 @@ def grid_for(estimator, wanted: Mapping[str, Sequence[object]]) -> tuple[list, l
     return builder.build(), [k for k in wanted if k not in known]
 
 
+def fold_of(keys: Sequence[str], folds: int = FOLDS) -> Column:
+    """Fold of a row by a hash of its key, of other digits than a split by the same key takes, so that folds of a split stay even."""
+    return F.pmod(hash_long(*[col(k) for k in keys], F.lit("fold")), F.lit(folds)).cast("int")
+
+
+def folds_by_key(df: DataFrame, keys: Sequence[str], folds: int = FOLDS) -> DataFrame:
+    """``fold, row_count, key_count, shared_keys``: sizes of the folds, and how many of a fold's keys are in another one too, which must be none."""
+    per_key = df.groupBy(*[col(k) for k in keys], fold_of(keys, folds).alias("fold")).agg(F.count(F.lit(1)).alias("n"))
+    spread = materialise(per_key, "folds")
+    twice = spread.groupBy(*[col(k) for k in keys]).agg(F.min("fold").alias("a"), F.max("fold").alias("b")).filter("a < b")
+    shared = twice.select(F.explode(F.array("a", "b")).alias("fold")).groupBy("fold").agg(F.count(F.lit(1)).alias("shared_keys"))
+    sizes = spread.groupBy("fold").agg(F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("key_count"))
+    return sizes.join(F.broadcast(shared), "fold", "left").withColumn("shared_keys", F.coalesce("shared_keys", F.lit(0).cast("long")))
+
+
 def train_classifier(
     train: DataFrame,
     name: str,
@@ -84,9 +100,11 @@ def train_classifier(
     folds: int | None = FOLDS,
     parallelism: int = 2,
     seed: int = SEED,
+    fold_keys: Sequence[str] | None = None,
 ) -> Trained:
     """Grid search with cross-validation on AUC, also for a grid of one point. The training rows are read once and cached.
 
+    With ``fold_keys`` a hash of these columns decides a row's fold: rows of one key are in one fold, in any partitioning. Without, folds are random.
     ``folds=None`` says to fit without cross-validation, which takes a grid of one point. Long boosting chains are cut by MLlib's own checkpoints in the shared folder.
     """
     spark = train.sparkSession
@@ -103,8 +121,10 @@ def train_classifier(
         numFolds=folds,
         seed=seed,
         parallelism=parallelism,
+        **({"foldCol": FOLD} if fold_keys else {}),
     )
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    folded = train.withColumn(FOLD, fold_of(fold_keys, folds)) if folds and fold_keys else train
+    cached = folded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         found = search.fit(cached) if search else None
         best = found.bestModel if found else estimator.fit(cached, combinations[0])

@@ -106,30 +106,35 @@ def account(raw: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
 
 
 def clean_incidents(
-    raw: DataFrame, recipe: Recipe = Recipe(), train_percent: int = 80
+    raw: DataFrame, recipe: Recipe = Recipe(), train_percent: int = 80, counts: clean.StepCounts | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Cleaned train and test.
 
+    ``counts`` takes in the rows after every step, from the writes that are there anyway; without it the row rules reach the scan.
+
     Row rules come first: they commute with de-duplication, which then shuffles fewer rows. Incidents
     are reduced to one row per natural key before the split, which hashes that key, so no incident is in
     both splits; among its rows the one with the fewest gaps is kept. Medians come from train alone.
     """
-    kept = raw
-    for _, rule in row_rules(raw, recipe):
-        kept = kept.filter(rule)
-    distinct = clean.drop_copies(kept, recipe.surrogate).drop(*recipe.unused)
+    marked = counts.after if counts else lambda df, *_: df
+    kept = marked(raw, "read")
+    for step, rule in row_rules(raw, recipe):
+        kept = marked(kept.filter(rule), step)
+    distinct = marked(clean.drop_copies(kept, recipe.surrogate), "copies").drop(*recipe.unused)
     timed = clean.add_durations(clean.add_calendar(distinct, recipe.start, recipe.end), recipe.start, recipe.end)
     named = clean.canonicalise(timed, recipe.wind, dict(recipe.wind_groups))
     gaps = F.lit(0)
     for m in recipe.measures:
         gaps = gaps + missing(m, named.schema[m].dataType).cast("int")
     one = clean.first_per_key(named.withColumn("_gaps", gaps), recipe.key, ["_gaps"]).drop("_gaps")
+    one = marked(one, "key", recipe.measures)
     slim = clean.drop_prefixed(one, recipe.late_prefixes, recipe.late)
     target = clean.binarise(slim, recipe.severity, recipe.high_from, recipe.target)
     train, test = written_key_split(target, recipe.key, train_percent, "cleaned")
     medians = imputing.fit_group_medians(train, recipe.group, recipe.measures)
     train, test = (imputing.fill_from_medians(part, medians, recipe.group, recipe.measures) for part in (train, test))
     require_same_schema(train, test)
+    train, test = (marked(part, "medians", recipe.measures) for part in (train, test))
     return materialise(train, "train"), materialise(test, "test")
 
 
@@ -241,7 +246,7 @@ def compare_models(
     test = materialise(feat.assemble(clean.pad_columns(ready.test, names), names, keep=[label]), "test_vectors")
     models, reports = {}, {}
     for name, grid in grids.items():
-        models[name] = fit.train_classifier(train, name, label, grid)
+        models[name] = fit.train_classifier(train, name, label, grid, fold_keys=["_row"])
         scored = fit.score(models[name].model, test)
         reports[name] = evaluate.evaluate(scored, label, evaluate.positive_score(scored))
     board = materialise(evaluate.leaderboard(reports), "leaderboard")

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gritmill.operators import evaluating as evaluate
 from gritmill.operators import training as fit
-from gritmill.session import materialise
+from gritmill.operators.runs import evaluate_saved_models
+from gritmill.session import fresh_path, materialise
+from gritmill.sources.runs import save_run
 from gritmill.workload.registry import query
 from gritmill.workload.views import table
 
@@ -154,19 +158,45 @@ def next_action_after_training(spark, sf):
     return fit.next_action(winner_of_formulas(spark, sf), iteration=1)
 
 
-@query(
-    "evaluation_summary",
-    f"""
-    WITH {scored_sql('by_both')}, {CELLS_SQL}, {curve_sql()}, t AS (SELECT *, tp + fp + tn + fn AS total FROM c),
-    a AS (SELECT {AREAS} FROM r)
-    SELECT tp, fp, tn, fn, round(tp / (tp + fp), 4) AS true_precision, round(tp / (tp + fn), 4) AS true_recall,
-           round((tp + tn) / total, 4) AS true_accuracy,
-           round((2 * tp / (2 * tp + fp + fn) * (tp + fn) + 2 * tn / (2 * tn + fn + fp) * (tn + fp)) / total, 4) AS f1,
-           round((tp / (tp + fp) * (tp + fn) + tn / (tn + fn) * (tn + fp)) / total, 4) AS weighted_precision,
-           round((tp + tn) / total, 4) AS weighted_recall, round((tp + tn) / total, 4) AS accuracy,
-           round(auc_roc, 4) AS auc_roc, round(auc_pr, 4) AS auc_pr
-    FROM t, a
-    """,
-)
+def summary_sql(name: str) -> str:
+    """All headline metrics of one formula."""
+    return f"""
+    SELECT * FROM (
+        WITH {scored_sql(name)}, {CELLS_SQL}, {curve_sql()}, t AS (SELECT *, tp + fp + tn + fn AS total FROM c), a AS (SELECT {AREAS} FROM r)
+        SELECT tp, fp, tn, fn, round(coalesce(tp / nullif(tp + fp, 0), 0), 4) AS true_precision, round(tp / (tp + fn), 4) AS true_recall,
+               round((tp + tn) / total, 4) AS true_accuracy,
+               round((2 * tp / (2 * tp + fp + fn) * (tp + fn) + 2 * tn / (2 * tn + fn + fp) * (tn + fp)) / total, 4) AS f1,
+               round((coalesce(tp / nullif(tp + fp, 0), 0) * (tp + fn) + coalesce(tn / nullif(tn + fn, 0), 0) * (tn + fp)) / total, 4) AS weighted_precision,
+               round((tp + tn) / total, 4) AS weighted_recall, round((tp + tn) / total, 4) AS accuracy,
+               round(auc_roc, 4) AS auc_roc, round(auc_pr, 4) AS auc_pr,
+               (SELECT count(*) FROM s WHERE score IS NULL AND y = 1) AS unscored_pos, (SELECT count(*) FROM s WHERE score IS NULL AND y = 0) AS unscored_neg
+        FROM t, a
+    )"""
+
+
+@query("evaluation_summary", summary_sql("by_both"))
 def evaluation_summary(spark, sf):
     return evaluate.evaluate(scored(spark, sf, "by_both"), "y", F.col("score"))
+
+
+def formula_model(name: str) -> PipelineModel:
+    """A fixed score as a model that can be saved and loaded like any other."""
+    statement = f"SELECT *, 1 - {SCORES[name]} AS _low, {SCORES[name]} AS _high, CASE WHEN {SCORES[name]} >= 0.5 THEN 1.0D ELSE 0.0D END AS prediction FROM __THIS__"
+    return PipelineModel([SQLTransformer(statement=statement), VectorAssembler(inputCols=["_low", "_high"], outputCol="rawPrediction")])
+
+
+RUN_OF = {"by_discount": "monday", "by_tax": "monday", "by_quantity": "tuesday", "by_both": "tuesday"}
+
+
+@query(
+    "saved_models_evaluated",
+    " UNION ALL ".join(f"SELECT '{RUN_OF[n]}' AS run, '{n}' AS model, *, CAST(NULL AS VARCHAR) AS problem FROM ({summary_sql(n)})" for n in SCORES),
+)
+def saved_models_evaluated(spark, sf):
+    """Every model under a folder, of two runs, from the saved files alone; a third run that was never committed is not seen."""
+    root = fresh_path(spark, "models")
+    for run in ("monday", "tuesday"):
+        save_run(spark, root, run, {n: formula_model(n) for n in SCORES if RUN_OF[n] == run}, {})
+    save_run(spark, root, "wednesday", {"by_tax": formula_model("by_tax")}, {}, commit=False)
+    lines = table(spark, sf, "lineitem").withColumn("y", F.expr(TRUTH))
+    return evaluate_saved_models(spark, root, lines, "y")

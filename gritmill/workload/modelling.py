@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from gritmill.operators import evaluating as evaluate
 from gritmill.operators import features as feat
+from gritmill.operators import searching as search
 from gritmill.operators import training as fit
 from gritmill.operators.profiling import class_shares
-from gritmill.operators.splitting import balance_classes, key_split
+from gritmill.operators.runs import evaluate_saved_models, keep_training
+from gritmill.operators.splitting import balance_classes, key_split, written_key_split
 from gritmill.plans.feature_plan import Encoding, FeaturePlan, Interaction, RegexFlag
 from gritmill.session import fresh_path, materialise
+from gritmill.sources.runs import stored_report
 from gritmill.sources.tables import load_model, save_model
 from gritmill.workload.registry import query
 from gritmill.workload.views import DOCS_SQL, doc_quality, hash_sql, table
@@ -45,7 +48,7 @@ GRIDS = {
 def vectors(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Balanced training vectors and untouched test vectors."""
     docs = doc_quality(spark, sf).withColumn("n_lines", F.size(F.split("text", "\n")))
-    train, test = [materialise(part, "docs") for part in key_split(docs, ["doc_id"], 70)]
+    train, test = written_key_split(docs, ["doc_id"], 70, "docs")
     train, test, fitted = feat.apply_plan(train, test, DOC_PLAN)
     ready = [feat.assemble(part, fitted.features, keep=["doc_id", LABEL]) for part in (train, test)]
     train = balance_classes(materialise(ready[0], "train_vectors"), LABEL, ["doc_id"])
@@ -55,7 +58,7 @@ def vectors(spark, sf) -> tuple[DataFrame, DataFrame]:
 def train_one(spark, sf, name, folds=None):
     """The classifier at its default settings; without folds where the query is about something else."""
     train, test = vectors(spark, sf)
-    return fit.train_classifier(train, name, LABEL, GRIDS[name] if folds else None, folds), train, test
+    return fit.train_classifier(train, name, LABEL, GRIDS[name] if folds else None, folds, fold_keys=["doc_id"]), train, test
 
 
 def _held_out(spark, sf, name):
@@ -90,7 +93,7 @@ def cross_validated_grid(spark, sf):
     """Three folds over a grid; a setting the model lacks is skipped and named."""
     train, test = vectors(spark, sf)
     grid = {"regParam": [0.001, 0.1], "maxIter": [20], "noSuchSetting": [1]}
-    trained = fit.train_classifier(train, "LogisticRegression", LABEL, grid)
+    trained = fit.train_classifier(train, "LogisticRegression", LABEL, grid, fold_keys=["doc_id"])
     best = fit.best_settings(trained, test).withColumn("auc", F.lit(fit.held_out_auc(trained, test, LABEL)))
     return best.withColumn("skipped", F.lit(",".join(trained.unknown_settings)))
 
@@ -142,13 +145,87 @@ def model_leaderboard(spark, sf):
     train, test = vectors(spark, sf)
     reports = {}
     for name, grid in GRIDS.items():
-        scored = fit.train_classifier(train, name, LABEL, grid).model.transform(test)
+        scored = fit.train_classifier(train, name, LABEL, grid, fold_keys=["doc_id"]).model.transform(test)
         reports[name] = evaluate.evaluate(scored, LABEL, evaluate.positive_score(scored))
     board = materialise(evaluate.leaderboard(reports), "leaderboard")
     decision = fit.next_action(fit.pick_winner(board, "model", "auc_roc"), iteration=1)
     return board.join(F.broadcast(decision), board["model"] == decision["winner"], "left").drop("winner", "winner_auc")
 
 
+@query(
+    "training_run_kept",
+    f"""
+    WITH {DOCS_SQL}, test AS (SELECT count(*) AS n FROM docs WHERE {hash_sql('doc_id')} % 100 >= 70),
+    models AS (SELECT unnest([{", ".join(f"'{n}'" for n in sorted(GRIDS))}]) AS model)
+    SELECT 'first' AS run, model, TRUE AS same_after_loading, TRUE AS same_in_report, n AS test_rows, TRUE AS curve_ends_at_all_rows FROM models, test
+    """,
+)
+def training_run_kept(spark, sf):
+    """A run of all classifiers is kept with its reports; from the files alone come the same leaderboard, metrics and curves."""
+    root = fresh_path(spark, "runs")
+    train, test = vectors(spark, sf)
+    trained = {name: fit.train_classifier(train, name, LABEL, folds=None) for name in GRIDS}
+    board = keep_training(root, "first", trained, train, test, LABEL)
+    again = materialise(evaluate_saved_models(spark, root, test, LABEL).drop("problem"), "again")
+    numbers = [c for c in board.columns if c != "model"]
+    same = F.lit(True)
+    for c in numbers:
+        same = same & F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}"))
+    loaded = again.alias("a").join(board.alias("b"), "model", "left").select(F.col("a.run").alias("run"), "model", same.alias("same_after_loading"))
+    metrics = stored_report(spark, root, "metrics").groupBy("run", "model").pivot("metric", numbers).agg(F.first("value"))
+    reported = again.alias("a").join(metrics.alias("b"), ["run", "model"], "left").select("run", "model", same.alias("same_in_report"))
+    ends = stored_report(spark, root, "curves").groupBy("run", "model").agg((F.max("tp") + F.max("fp")).alias("n"))
+    rows = test.count()
+    ends = ends.select("run", "model", F.lit(rows).cast("long").alias("test_rows"), (F.col("n") == rows).alias("curve_ends_at_all_rows"))
+    return loaded.join(reported, ["run", "model"]).join(ends, ["run", "model"])
+
+
+@query("training_importances_kept")
+def training_importances_kept(spark, sf):
+    """Importances and settings of two runs in one table each, as they were stored."""
+    root = fresh_path(spark, "runs")
+    train, test = vectors(spark, sf)
+    for run, name in (("first", "LogisticRegression"), ("second", "RandomForestClassifier")):
+        keep_training(root, run, {name: fit.train_classifier(train, name, LABEL, folds=None)}, train, test, LABEL)
+    settings = stored_report(spark, root, "settings").groupBy("run", "model").agg(F.sort_array(F.collect_list(F.concat_ws("=", "setting", "value"))).alias("settings"))
+    return stored_report(spark, root, "importances").join(F.broadcast(settings), ["run", "model"])
+
+
+@query(
+    "folds_by_key",
+    f"""
+    WITH split AS (SELECT l_orderkey FROM lineitem WHERE {hash_sql('l_orderkey')} % 100 < 80),
+    folded AS (SELECT l_orderkey, CAST({hash_sql("l_orderkey, 'fold'", 13)} % 3 AS INTEGER) AS fold FROM split)
+    SELECT fold, count(*) AS row_count, count(DISTINCT l_orderkey) AS key_count, 0::BIGINT AS shared_keys FROM folded GROUP BY 1
+    """,
+)
+def folds_by_key(spark, sf):
+    """Folds of the training lines by order: no order is in two folds, whatever the partitioning."""
+    train, _ = key_split(table(spark, sf, "lineitem"), ["l_orderkey"])
+    return fit.folds_by_key(train, ["l_orderkey"])
+
+
+# 72 settings of a linear model, as wide as the widest kept search, and small grids of the others.
+SEARCHED = {
+    "LogisticRegression": {"regParam": [0.0001, 0.001, 0.01, 0.1, 0.3, 1.0], "elasticNetParam": [0.0, 0.25, 0.5, 1.0], "maxIter": [20, 50, 100]},
+    "GBTClassifier": {"maxIter": [10, 20], "maxDepth": [3, 5]},
+    "RandomForestClassifier": {"numTrees": [50, 100], "maxDepth": [3, 5]},
+    "LinearSVC": {"regParam": [0.001, 0.01, 0.1], "maxIter": [100]},
+}
+
+
+def _searched(spark, sf):
+    train, test = vectors(spark, sf)
+    return search.search(train, test, LABEL, ["doc_id"], SEARCHED)
+
+
+@query("model_search")
+def model_search(spark, sf):
+    """Every fit of the search: which iteration, setting and rung, its AUC on the rows held back, and whether it went on."""
+    found = _searched(spark, sf)
+    return found.log.join(F.broadcast(found.decisions), "iteration")
+
+
 @query("mllib_evaluator_areas")
 def mllib_evaluator_areas(spark, sf):
     trained, _, test = train_one(spark, sf, "LogisticRegression")
