@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gritmill.llm.mixing_training import mixed
-from gritmill.llm.shared import with_fields, written
+from gritmill.llm.shared import drawn, with_fields, written
 from gritmill.llm.words import ALNUM, mix, sliced, words_of
 
 BITS = 17  # hashed words, and as many hashed shapes
@@ -148,8 +148,7 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
     if top >= MAX_GRADES:
         raise ValueError(f"grades go up to {top}; at most {MAX_GRADES} grades are supported")
     grades = max(2, top + 1)
-    share = min(1.0, sample / count)
-    few = rated.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))).groupBy("id").agg(F.min("grade").alias("grade"))
+    few = rated.filter(drawn(F.col("id"), sample / count)).groupBy("id").agg(F.min("grade").alias("grade"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     chosen = texts.join(F.broadcast(few), "id").withColumn("trainer", F.lit(0))  # few: about ``sample`` rows
     rows = chosen.select("trainer", "id", "grade", "text").mapInArrow(_featured, "trainer int, id long, grade int, features binary, values binary")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gritmill.llm.mixing_training import mixed
-from gritmill.llm.shared import with_fields, written
+from gritmill.llm.shared import drawn, with_fields, written
 from gritmill.llm.words import Words, mix, sliced, words_of
 
 LETTERS = np.zeros(256, bool)
@@ -245,13 +245,13 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = sorted(counts)
-    chance = F.lit(0)
+    chosen_one = F.lit(False)
     label = F.lit(0)
     for i, name in enumerate(languages):
         here = F.col("lang") == name
-        chance = F.when(here, int(min(1.0, sample / counts[name]) * (1 << 20))).otherwise(chance)
+        chosen_one = F.when(here, drawn(F.col("id"), sample / counts[name])).otherwise(chosen_one)
         label = F.when(here, i).otherwise(label)
-    chosen = rows.filter("id is not null and text is not null and lang is not null").filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < chance)
+    chosen = rows.filter("id is not null and text is not null and lang is not null").filter(chosen_one)
     chosen = chosen.select(F.pmod(F.hash("id"), F.lit(TRAINERS)).alias("trainer"), "id", label.alias("label"), "text")
     sampled = written(chosen.mapInArrow(_lexed, "trainer int, id long, label int, sizes binary, features binary"), "lexed")
     n = len(languages)

@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gritmill.session import fresh_path
@@ -30,6 +31,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def drawn(key: Column, share: float) -> Column:
+    """Whether a key is in a sample of about ``share`` of all keys, by 63 bits of its hash: fine enough for a few of 10^17."""
+    if share >= 1:
+        return F.lit(True)
+    return F.shiftrightunsigned(F.xxhash64(key), 1) < F.lit(max(1, int(share * 2**63)))
+
+
 def discard(df: DataFrame) -> None:
     """Remove a written table that nothing reads any more."""
     spark, at = df.sparkSession, df._written_at
