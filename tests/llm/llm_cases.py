@@ -44,7 +44,7 @@ def clashing(df):
     """The same table with more columns, named like what operators use inside."""
     from pyspark.sql import functions as F
 
-    return df.withColumns({c: F.lit(i) for i, c in enumerate(["row", "size", "hits", "items", "rep", "id", "trainer", "selected", "a b"])})
+    return df.withColumns({c: F.lit(i) for i, c in enumerate(["row", "size", "hits", "items", "rep", "id", "trainer", "selected", "a b", "copy", "Before", "_before", "a.b"])})
 
 
 def same(found, wanted):
