@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gritmill.functions.columns import col, known_double
+from gritmill.operators.joining import lookup_join
+from gritmill.operators.ranking import numbered
 from gritmill.plans.feature_plan import Encoding
+from gritmill.session import materialise
 
 # Up to 20 categories one column each, up to 100,000 an index, beyond that the column goes.
 ONE_HOT_LIMIT = 20
@@ -39,7 +42,7 @@ def learn(
 
 
 def check_cardinality(columns: Sequence[str], learned: dict[tuple[str, str], float], limit: int = INDEX_LIMIT) -> None:
-    """An index keeps its labels in the driver, so columns with too many are refused."""
+    """This index keeps its labels in the driver, so columns with too many are refused; ``label_table`` takes those."""
     wide = [c for c in columns if learned["distinct", c] > limit * 1.1]
     if wide:
         raise ValueError(f"more than {limit} values, drop or group first: {wide}")
@@ -54,6 +57,24 @@ def indexer(columns: Sequence[str]) -> StringIndexer:
     )
 
 
+def label_table(train: DataFrame, name: str) -> DataFrame:
+    """``<name>, <name>_idx, n``: every known label with its index, the most frequent first and equal ones by the label, written.
+
+    The same index as ``indexer`` learns, for columns with more labels than a driver holds.
+    """
+    counts = train.filter(col(name).isNotNull()).groupBy(col(name)).agg(F.count(F.lit(1)).alias("n"))
+    order = [F.desc("n"), col(name).asc()]
+    places = numbered(materialise(counts, "label_counts"), order, "_place")
+    return materialise(places.select(col(name), F.col("_place").cast("double").alias(f"{name}_idx"), "n"), "labels")
+
+
+def index_labels(df: DataFrame, name: str, labels: DataFrame) -> DataFrame:
+    """Add ``<name>_idx`` from a ``label_table``; null and labels that train did not have take the number after the last."""
+    unseen = float(labels.count())
+    joined = lookup_join(df, labels.drop("n"), [name])
+    return joined.withColumn(f"{name}_idx", F.coalesce(col(f"{name}_idx"), F.lit(unseen)))
+
+
 def one_hot(columns: Sequence[str]) -> OneHotEncoder:
     """One slot per known label; the slot for unseen values is the dropped one, so they are all zero."""
     return OneHotEncoder(inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_ohe" for c in columns])

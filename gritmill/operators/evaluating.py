@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gritmill.functions.columns import col
@@ -14,6 +14,9 @@ from gritmill.operators.ranking import ROWS_PER_RANGE, running_totals
 from gritmill.session import materialise
 
 
+CURVE_POINTS = 1_000
+
+
 def positive_score(df: DataFrame) -> Column:
     """Probability of class 1 where the model gives one, else its raw margin."""
     source = "probability" if "probability" in df.columns else "rawPrediction"
@@ -105,6 +108,43 @@ def curve_points(scores: DataFrame, rows_per_range: int = ROWS_PER_RANGE, digits
     )
 
 
+def thinned_curve(scores: DataFrame, points: int = CURVE_POINTS, rows_per_range: int = ROWS_PER_RANGE, digits: int = 6) -> DataFrame:
+    """At most ``points`` of the points of ``curve_points``, evenly along the curve, whatever the number of distinct scores.
+
+    True and false positives both rise along the curve, so steps in either number the points' stretches in order; the last point of each stretch
+    stays, and with it the curve's end.
+    """
+    run = running_totals(scores.filter("score is not null"), "score", ["pos", "neg"], descending=True, rows_per_range=rows_per_range)
+    steps = max(1, (points - 1) // 2)
+    stretch = F.coalesce(F.expr(f"pos_run * {steps} div nullif(pos_all, 0)"), F.lit(0)) + F.coalesce(F.expr(f"neg_run * {steps} div nullif(neg_all, 0)"), F.lit(0))
+    last = run.groupBy(stretch.alias("stretch")).agg(F.min_by(F.struct("score", "pos_run", "neg_run", "pos_all", "neg_all"), "score").alias("p"))
+    tp, fp = F.col("p.pos_run"), F.col("p.neg_run")
+    return last.select(
+        "p.score",
+        tp.alias("tp"),
+        fp.alias("fp"),
+        F.round(F.try_divide(fp, F.col("p.neg_all")), digits).alias("fpr"),
+        F.round(F.try_divide(tp, F.col("p.pos_all")), digits).alias("tpr"),
+        F.round(F.try_divide(tp, tp + fp), digits).alias("precision"),
+    )
+
+
+def thinned_area(thinned: DataFrame, digits: int = 6) -> DataFrame:
+    """``auc_roc, largest_error``: the area under a thinned curve and how far the exact one can lie from it.
+
+    Between two points that stayed, the exact curve rises somewhere inside their box; the straight line halves that box, so half of all boxes is the most
+    it can be off.
+    """
+    order = Window.orderBy("tp", "fp")  # as many rows as the curve has points
+    step = thinned.select(
+        "tp", "fp", F.lag("tp", 1, 0).over(order).alias("tp0"), F.lag("fp", 1, 0).over(order).alias("fp0"), F.max("tp").over(Window.partitionBy(F.lit(0))).alias("p"), F.max("fp").over(Window.partitionBy(F.lit(0))).alias("n")
+    )
+    whole = F.max("p").cast("double") * F.max("n")
+    area = F.sum((F.col("fp") - F.col("fp0")) * (F.col("tp") + F.col("tp0")) / F.lit(2.0))
+    boxes = F.sum((F.col("fp") - F.col("fp0")) * (F.col("tp") - F.col("tp0")) / F.lit(2.0))
+    return step.agg(F.round(F.try_divide(area, whole), digits).alias("auc_roc"), F.round(F.try_divide(boxes, whole), digits).alias("largest_error"))
+
+
 def areas(scores: DataFrame, rows_per_range: int = ROWS_PER_RANGE, digits: int = 6) -> DataFrame:
     """Exact area under the ROC and the PR curve.
 

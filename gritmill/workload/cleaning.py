@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gritmill.functions.columns import col
 from gritmill.operators import cleaning as clean
@@ -10,7 +11,7 @@ from gritmill.operators import imputing, joining
 from gritmill.operators.exploring import means_per, share_of_all
 from gritmill.operators.splitting import key_split
 from gritmill.session import fresh_path, materialise
-from gritmill.sources import tables
+from gritmill.sources import tables, text_types
 from gritmill.workload.registry import query
 from gritmill.workload.views import FACT_SQL, LINES_SQL, fact, hash_sql, lines, table
 
@@ -44,6 +45,48 @@ def scan_csv_typed(spark, sf):
     )
 
 
+ORDER_TYPES_SQL = " UNION ALL ".join(
+    [f"SELECT '{c}' AS column_name, CASE WHEN max(abs({c})) <= 2147483647 THEN 'int' ELSE 'bigint' END AS type, TRUE AS as_spark FROM orders" for c in ("o_orderkey", "o_custkey")]
+    + [f"SELECT '{c}', CASE WHEN bool_and(try_cast({c} AS DOUBLE) IS NULL) THEN 'string' END, TRUE FROM orders" for c in ("o_orderstatus", "o_orderpriority")]
+    + ["SELECT 'o_totalprice', CASE WHEN bool_or(o_totalprice <> floor(o_totalprice)) THEN 'double' ELSE 'int' END, TRUE FROM orders"]
+    + ["SELECT 'o_orderdate', CASE WHEN typeof(any_value(o_orderdate)) = 'DATE' THEN 'date' ELSE 'timestamp' END, TRUE FROM orders"]
+)
+
+
+@query("csv_types_inferred", ORDER_TYPES_SQL)
+def csv_types_inferred(spark, sf):
+    """Types of a CSV file from all its rows by one aggregate, next to whether Spark's own scan finds the same."""
+    path = fresh_path(spark, "orders_csv")
+    table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority").write.option("header", True).csv(path)
+    own = {f.name: f.dataType for f in tables.read_csv(spark, path).schema}
+    found = text_types.infer_csv(spark, path)
+    return spark.createDataFrame([(f.name, f.dataType.simpleString(), own[f.name] == f.dataType) for f in found], "column_name string, type string, as_spark boolean")
+
+
+BAD_LINE = "o_orderkey % 50 = 0 OR o_orderkey % 70 = 1"
+
+
+@query(
+    "csv_rejects_kept",
+    f"""
+    SELECT CASE WHEN {BAD_LINE} THEN 'rejected' ELSE 'kept' END AS part, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys,
+           CAST(sum(CASE WHEN o_orderkey % 50 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS without_price FROM orders GROUP BY 1
+    """,
+)
+def csv_rejects_kept(spark, sf):
+    """Lines with a text for a price, or with a cell too many, are kept beside the rows that fit."""
+    price = "CASE WHEN o_orderkey % 50 = 0 THEN 'none' ELSE CAST(o_totalprice AS STRING) END"
+    more = "CASE WHEN o_orderkey % 70 = 1 THEN ',x' ELSE '' END"
+    path = fresh_path(spark, "orders_lines")
+    table(spark, sf, "orders").selectExpr(f"concat_ws(',', o_orderkey, o_custkey, {price}) || {more} AS line").write.text(path)
+    schema = T.StructType.fromDDL("o_orderkey bigint, o_custkey bigint, o_totalprice double")
+    good, bad = text_types.read_with_rejects(spark, path, schema, header=False)
+    key = F.split_part("line", F.lit(","), F.lit(1)).cast("bigint").alias("o_orderkey")
+    both = good.select("o_orderkey", F.lit("kept").alias("part"), F.col("o_totalprice").isNull().alias("gap"))
+    both = both.union(bad.select(key, F.lit("rejected"), F.col("line").contains(",none")))
+    return both.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.sum(F.col("gap").cast("long")).alias("without_price"))
+
+
 @query(
     "scan_parquet_pruned",
     """

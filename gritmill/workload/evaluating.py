@@ -112,6 +112,38 @@ def roc_and_pr_curve_ranged(spark, sf):
     return evaluate.curve_points(scores, rows_per_range=10)
 
 
+def thinned_sql(name: str, points: int) -> str:
+    steps = (points - 1) // 2
+    return f"""
+    WITH {scored_sql(name)}, {curve_sql()},
+    kept AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY tp * {steps} // p + fp * {steps} // n ORDER BY score) = 1)"""
+
+
+@query("roc_curve_thinned", f"{thinned_sql('by_both', 40)} SELECT {CURVE_COLUMNS} FROM kept")
+def roc_curve_thinned(spark, sf):
+    """A curve of at most 40 points."""
+    return evaluate.thinned_curve(evaluate.by_score(scored(spark, sf, "by_both"), "y", F.col("score")), points=40)
+
+
+@query(
+    "roc_area_thinned",
+    f"""
+    {thinned_sql("by_both", 40)},
+    steps AS (SELECT *, lag(tp, 1, 0) OVER (ORDER BY tp, fp) AS tp0, lag(fp, 1, 0) OVER (ORDER BY tp, fp) AS fp0 FROM kept),
+    thin AS (SELECT round(sum((fp - fp0) * (tp + tp0) / 2.0) / (max(p)::DOUBLE * max(n)), 6) AS auc_roc, round(sum((fp - fp0) * (tp - tp0) / 2.0) / (max(p)::DOUBLE * max(n)), 6) AS largest_error FROM steps),
+    a AS (SELECT {AREAS} FROM r)
+    SELECT thin.auc_roc, largest_error, a.auc_roc AS exact_auc_roc, abs(a.auc_roc - thin.auc_roc) <= largest_error + 0.000001 AS within FROM thin, a
+    """,
+)
+def roc_area_thinned(spark, sf):
+    """The area under the short curve, next to the exact one and the largest error that the short one states of itself."""
+    scores = evaluate.by_score(scored(spark, sf, "by_both"), "y", F.col("score"))
+    thin = evaluate.thinned_area(evaluate.thinned_curve(scores, points=40))
+    exact = evaluate.areas(scores).select(F.col("auc_roc").alias("exact_auc_roc"))
+    off = F.abs(F.col("exact_auc_roc") - F.col("auc_roc")) <= F.col("largest_error") + 0.000001
+    return thin.crossJoin(F.broadcast(exact)).withColumn("within", off)
+
+
 @query("areas_under_curves", f"WITH {scored_sql('by_quantity')}, {curve_sql()} SELECT {AREAS} FROM r")
 def areas_under_curves(spark, sf):
     return evaluate.areas(evaluate.by_score(scored(spark, sf, "by_quantity"), "y", F.col("score")))

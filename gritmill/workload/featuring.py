@@ -162,6 +162,21 @@ def string_index(spark, sf):
     return indexed.select("p_partkey", "p_brand_idx", "p_type_idx")
 
 
+@query(
+    "string_index_table",
+    f"""
+    WITH {index_sql("CAST(l_partkey AS VARCHAR)", f"(SELECT * FROM lineitem WHERE {hash_sql('l_orderkey')} % 100 < 80)", "b")}
+    SELECT l_orderkey, l_linenumber, coalesce(b.i, (SELECT CAST(count(*) AS DOUBLE) FROM b)) AS part_idx
+    FROM lineitem LEFT JOIN b ON CAST(l_partkey AS VARCHAR) = b.value
+    """,
+)
+def string_index_table(spark, sf):
+    """A column of many labels, indexed by a table that train makes and that no driver holds; labels train did not have take the last number."""
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    train, _ = key_split(rows, ["l_orderkey"])
+    return encode.index_labels(rows, "part", encode.label_table(train, "part")).drop("part")
+
+
 SLOTS = 6
 
 

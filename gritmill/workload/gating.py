@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gritmill.functions.columns import col
 from gritmill.operators import encoding as encode
 from gritmill.operators import features as feat
-from gritmill.operators import gates
+from gritmill.operators import gates, leaking
 from gritmill.operators import profiling as prof
 from gritmill.operators.exploring import group_counts
 from gritmill.plans.feature_plan import Interaction, RegexFlag
@@ -326,3 +326,24 @@ def pruned_features(spark, sf):
         F.sum("is_color").alias("is_color"),
         F.lit(",".join(sorted(slim.features))).alias("features"),
     )
+
+
+PLANTED = {"Copied": 'high_severity * 3 + "Humidity(%)"', "Mirrored": '5 - "Severity"'}
+JUDGED = [*NUMBERS, "Severity", *PLANTED]
+
+
+@query(
+    "leaking_features",
+    f"""
+    WITH {FACT_SQL}, planted AS (SELECT *, {", ".join(f'{e} AS "{n}"' for n, e in PLANTED.items())} FROM fact),
+    v AS ({" UNION ALL ".join(f"""SELECT '{c}' AS feature, CAST("{c}" AS DOUBLE) AS v, high_severity AS y FROM planted WHERE "{c}" IS NOT NULL""" for c in JUDGED)}),
+    b AS (SELECT feature, v, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg FROM v GROUP BY 1, 2),
+    r AS (SELECT *, sum(neg) OVER (PARTITION BY feature ORDER BY v) - neg AS below FROM b),
+    a AS (SELECT feature, round(sum(pos * (below + neg / 2.0)) / (sum(pos)::DOUBLE * sum(neg)), 6) AS auc FROM r GROUP BY 1)
+    SELECT feature, auc, round(greatest(auc, 1 - auc), 6) AS strength FROM a WHERE greatest(auc, 1 - auc) >= 0.98
+    """,
+)
+def leaking_features(spark, sf):
+    """Features that tell the target by themselves, the target's copy under another name among them."""
+    planted = written_fact(spark, sf).withColumns({n: F.expr(e.replace('"', "`")) for n, e in PLANTED.items()})
+    return leaking.leaking_features(planted, JUDGED, "high_severity")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gritmill.operators import heavy
 from gritmill.operators import profiling as prof
 from gritmill.operators.cleaning import add_calendar
 from gritmill.session import fresh_path, materialise
@@ -193,6 +194,29 @@ def most_frequent_values(spark, sf):
     return prof.frequent_values(prof.category_counts(fact(spark, sf), CATEGORIES), 5)
 
 
+@query("heavy_values", _frequent_sql("DESC"))
+def heavy_values(spark, sf):
+    """The same rows from counters of bounded size."""
+    return heavy.heavy_values(heavy.long_values(fact(spark, sf), CATEGORIES), 5)
+
+
+KEYS = ["l_orderkey", "l_partkey", "l_shipdate", "l_returnflag"]
+
+
+@query(
+    "heavy_values_of_keys",
+    f"""
+    WITH cc AS (SELECT column_name, v AS value, count(*) AS n FROM ({long_sql("lineitem", KEYS, "VARCHAR")}) GROUP BY 1, 2)
+    SELECT column_name, value, n, CAST(place AS INT) AS place FROM (
+      SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value NULLS FIRST) AS place FROM cc)
+    WHERE place <= 5
+    """,
+)
+def heavy_values_of_keys(spark, sf):
+    """Keys beside a few-valued column, with few counters: some columns are decided by them, the others by full counts."""
+    return heavy.heavy_values(heavy.long_values(table(spark, sf, "lineitem"), KEYS), 5, tracked=64)
+
+
 @query("rarest_values", _frequent_sql("ASC"))
 def rarest_values(spark, sf):
     return prof.frequent_values(prof.category_counts(fact(spark, sf), CATEGORIES), 5, rarest=True)
@@ -258,6 +282,11 @@ def frequent_tokens_documents(spark, sf):
     return prof.frequent_tokens(table(spark, sf, "documents"), "text")
 
 
+@query("heavy_tokens_documents", token_sql("documents", "text"))
+def heavy_tokens_documents(spark, sf):
+    return heavy.heavy_tokens(table(spark, sf, "documents"), "text")
+
+
 YEARS = """
     y AS (SELECT 'l_shipdate' AS column_name, CAST(year(l_shipdate) AS INT) AS y, count(*) AS n, min(l_shipdate) AS a, max(l_shipdate) AS b
           FROM lineitem GROUP BY 2)
