@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel, Transformer
@@ -9,6 +10,8 @@ from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from gritmill.functions.columns import col
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header. A given schema saves the extra pass that inference needs."""
@@ -31,6 +34,17 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, schema
     return overwrite_parquet(read_csv(spark, csv_path, schema), parquet_path)
 
 
+def write_bucketed(df: DataFrame, keys: Sequence[str], buckets: int, path: str) -> tuple[DataFrame, str]:
+    """The table at ``path`` in buckets of its keys, one file each, and its name in the catalog.
+
+    Grouping by the keys, and joining with a table of as many buckets by the same keys, needs no shuffle. ``DROP TABLE`` takes only the name away, not the files.
+    """
+    spark, name = df.sparkSession, f"gritmill_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *[col(k) for k in keys])
+    dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return spark.table(name), name
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Look through the file system the path belongs to, local or not."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -457,17 +457,27 @@ def imputed_splits(spark, sf):
     return [imputing.fill_from_medians(part, medians, GROUP, MEASURES) for part in (train, test)]
 
 
-@query(
-    "impute_group_median",
-    f"""
+IMPUTED_SQL = f"""
     WITH {IMPUTE_SQL}
     SELECT CASE WHEN in_train THEN 'train' ELSE 'test' END AS split, "Airport_Code", count(*) AS n,
            {", ".join(f'round(sum("{m}"), 3) AS "{m}"' for m in MEASURES)}
     FROM complete GROUP BY 1, 2
-    """,
-)
+    """
+
+
+@query("impute_group_median", IMPUTED_SQL)
 def impute_group_median(spark, sf):
-    train, test = imputed_splits(spark, sf)
+    return _imputed_sums(*imputed_splits(spark, sf))
+
+
+@query("impute_in_buckets", IMPUTED_SQL)
+def impute_in_buckets(spark, sf):
+    """The same from tables in buckets of the group: medians and fill without another shuffle of the rows."""
+    splits = key_split(lines(spark, sf), ["order_key", "line_no"])
+    return _imputed_sums(*imputing.fill_in_buckets(*splits, GROUP, MEASURES))
+
+
+def _imputed_sums(train, test):
     both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
     return both.groupBy("split", "Airport_Code").agg(
         F.count(F.lit(1)).alias("n"), *[F.round(F.sum(col(m)), 3).alias(m) for m in MEASURES]

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from gritmill.operators import encoding as encode
 from gritmill.operators import evaluating as evaluate
-from gritmill.operators import heavy, leaking
+from gritmill.operators import heavy, imputing, leaking, partial
 from gritmill.operators import profiling as prof
 from gritmill.operators.ranking import numbered
 from gritmill.session import fresh_path
@@ -156,3 +156,57 @@ def test_lines_that_do_not_fit_are_kept(spark):
     good, bad = text_types.read_with_rejects(spark, path, T.StructType.fromDDL("a int, b string, c double"))
     assert sorted(map(tuple, good.collect()), key=repr) == sorted([(1, "x", 2.5), (5, None, None), (None, "y", 1.0), (6, "q, r", 0.5)], key=repr)
     assert sorted(r["line"] for r in bad.collect()) == sorted(["two,x,2.5", "3,x", "4,x,1,9", "7,x,1.5e"])
+
+
+def test_merged_profiles_are_those_of_the_whole(spark):
+    rng = np.random.default_rng(6)
+    rows = [(None if i % 97 == 0 else int(i % 5), float(rng.normal() * 3 + 1e6), None if i % 3 == 0 else float(rng.exponential()), 7.0, None) for i in range(4000)]
+    names = ["wide", "gaps", "same", "empty"]
+    df = spark.createDataFrame(rows, "p int, " + ", ".join(f"{n} double" for n in names)).repartition(5)
+    whole = partial.profile_states(df, names, F.lit("all"))
+    parts = partial.profile_states(df, names, F.col("p"))
+    assert {r["part"] for r in parts.select("part").collect()} == {"0", "1", "2", "3", "4", "null"}
+    a, b = ({r["column_name"]: r.asDict() for r in partial.merged_profile(s).collect()} for s in (whole, parts))
+    for name in names:
+        values = np.array([r[1 + names.index(name)] for r in rows if r[1 + names.index(name)] is not None])
+        for found in (a[name], b[name]):
+            assert (found["row_count"], found["null_count"]) == (4000, 4000 - len(values))
+            if len(values):
+                assert found["mean"] == pytest.approx(values.mean(), abs=1e-3) and (found["min"], found["max"]) == (round(values.min(), 4), round(values.max(), 4))
+                assert found["std"] == pytest.approx(values.std(ddof=1), abs=1e-3) and abs(found["distinct_about"] - len(set(values))) <= 0.1 * len(set(values))
+                for q, p in (("q0", 0.25), ("q1", 0.75)):
+                    low, high = ((values < found[q]).mean(), (values <= found[q]).mean())
+                    assert low - 0.01 <= p <= high + 0.01
+            else:
+                assert found["mean"] is None and found["q0"] is None
+        for moment in ("std", "skewness", "kurtosis"):
+            assert a[name][moment] == pytest.approx(b[name][moment], abs=1e-3) if a[name][moment] is not None else b[name][moment] is None
+    z = np.array([r[2] for r in rows if r[2] is not None])
+    c = z - z.mean()
+    assert b["gaps"]["skewness"] == pytest.approx((c**3).mean() / (c**2).mean() ** 1.5, abs=1e-3) and b["gaps"]["kurtosis"] == pytest.approx((c**4).mean() / (c**2).mean() ** 2 - 3, abs=1e-3)
+
+
+def test_a_part_that_is_stored_again_replaces_itself(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 5.0)], "p int, v double")
+    path = fresh_path(spark, "states")
+    for rows in (df, df.filter("p = 1").limit(1), spark.createDataFrame([(3, 9.0)], "p int, v double")):
+        partial.store_states(partial.profile_states(rows, ["v"], F.col("p")), path)
+    (r,) = partial.merged_profile(partial.stored_states(spark, path)).collect()
+    assert (r["row_count"], r["min"], r["max"]) == (3, 1.0, 9.0)
+    assert partial.merged_profile(partial.profile_states(df.limit(0), ["v"], F.col("p"))).collect() == []
+
+
+def test_buckets_need_no_further_shuffle_and_give_the_same_rows(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice(["a", "b", "c", None, f"g{i % 40}"]), i % 3, i, None if rng.random() < 0.3 else rng.random() * 9, float("nan") if rng.random() < 0.2 else float(i % 7)) for i in range(900)]
+    df = spark.createDataFrame(rows, "g string, `m(x)` int, i int, u double, v double")
+    train, test = df.filter("i % 5 > 0"), df.filter("i % 5 = 0")
+    keys, measures = ["g", "m(x)"], ["u", "v"]
+    medians = imputing.fit_group_medians(train, keys, measures)
+    wanted = [sorted(map(tuple, imputing.fill_from_medians(p, medians, keys, measures).collect()), key=repr) for p in (train, test)]
+    for most in (10_000, 20):
+        found = imputing.fill_in_buckets(train, test, keys, measures, rows_per_task=most, rows_of_bucket=300)
+        assert [sorted(map(tuple, p.collect()), key=repr) for p in found] == wanted
+        plan = found[0]._jdf.queryExecution().executedPlan().toString()
+        assert ("Bucketed: true" in plan and "Exchange" not in plan) == (most == 10_000)
+    assert [p.count() for p in imputing.fill_in_buckets(train.limit(0), test.limit(0), keys, measures)] == [0, 0]
