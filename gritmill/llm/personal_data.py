@@ -84,16 +84,56 @@ FEATURES = [
     f"length({DIGITS}) >= 10", "x.v rlike '[() -]'",
 ]
 ITERATIONS = 40
+LINE = 1_024
 
 
-def _spans(regex: str) -> str:
-    """All matches of a pattern as (start, end, text) in code points, from the pieces between the matches."""
-    return """aggregate(
-        zip_with(slice({p}, 1, size({m})), {m}, (p, m) -> named_struct('n', length(p), 'v', m)),
-        named_struct('at', 0, 'out', cast(array() as array<struct<s:int,e:int,v:string>>)),
-        (a, x) -> named_struct('at', a.at + x.n + length(x.v),
-            'out', concat(a.out, array(named_struct('s', a.at + x.n, 'e', a.at + x.n + length(x.v), 'v', x.v)))),
-        a -> a.out)""".format(m=f"`{regex}_m`", p=f"`{regex}_p`")
+#: Elements that a list grows by at once: lists are built in pieces of this size, so that no step copies all that is there.
+PIECE = 256
+SPAN = "struct<s:int,e:int,v:string,before:string,after:string>"
+BEFORE = 24  # signs of context before a span
+_HALVES = ", ".join(str(1 << i) for i in reversed(range(24)))
+
+
+def _pieces(items: str) -> str:
+    return f"transform(sequence(0, greatest(size({items}) - 1, 0) div {PIECE}), c -> slice({items}, c * {PIECE} + 1, {PIECE}))"
+
+
+def _scanned(items: str, start: dict[str, str], step: dict[str, str], kind: str, element: str) -> str:
+    """A list with an ``element`` for each ``x`` of ``items``, made from the running values ``b``; they begin at ``start`` and go on by ``step``."""
+    zero = ", ".join(f"'{k}', {v}" for k, v in start.items())
+    on = ", ".join(f"'{k}', {v}" for k, v in step.items())
+    inner = ", ".join(f"'{k}', a.{k}" for k in start)
+    done = ", ".join(f"'{k}', r.{k}" for k in start)
+    return f"""aggregate({_pieces(items)}, named_struct({zero}, 'out', cast(array() as array<array<{kind}>>)),
+        (a, piece) -> transform(array(aggregate(piece, named_struct({inner}, 'out', cast(array() as array<{kind}>)),
+            (b, x) -> named_struct({on}, 'out', concat(b.out, array({element}))))), r -> named_struct({done}, 'out', concat(a.out, array(r.out))))[0],
+        a -> flatten(a.out))"""
+
+
+def _matches(regex: str) -> str:
+    """Matches of a pattern with the text between them and the sign that follows, from what was cut."""
+    m, p = f"`{regex}_m`", f"`{regex}_p`"
+    after = f"substring(coalesce(nullif(get({p}, i + 1), ''), get({m}, i + 1), ''), 1, 1)"
+    return f"transform({m}, (v, i) -> named_struct('p', get({p}, i), 'v', v, 'next', {after}))"
+
+
+def _spans(items: str) -> str:
+    """All matches of a pattern as (start, end, text, signs before, sign after) in code points, in one walk over the text."""
+    start = "b.at + length(x.p)"
+    before = f"right(concat(b.tail, right(x.p, {BEFORE})), {BEFORE})"
+    return _scanned(
+        items,
+        {"at": "0", "tail": "''"},
+        {"at": f"{start} + length(x.v)", "tail": f"right(concat({before}, right(x.v, {BEFORE})), {BEFORE})"},
+        SPAN,
+        f"named_struct('s', {start}, 'e', {start} + length(x.v), 'v', x.v, 'before', {before}, 'after', x.next)",
+    )
+
+
+def _free(found: str, starts: str, ends: str) -> str:
+    """Spans that overlap none of those whose sorted starts, and whose largest ends up to each start, are given; the place is found by halving."""
+    upto = f"aggregate(array({_HALVES}), 0, (at, half) -> if(at + half <= size({starts}) and get({starts}, at + half - 1) < x.e, at + half, at))"
+    return f"filter({found}, x -> coalesce(get({ends}, {upto} - 1) <= x.s, true))"
 
 
 def candidates(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -111,21 +151,22 @@ def candidates(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
             cut[f"{level}_{k}_m"] = F.when(F.col(f"has_{k}"), F.regexp_extract_all("text", F.lit(patterns[k]), F.lit(0))).otherwise(none)
             cut[f"{level}_{k}_p"] = F.when(F.col(f"has_{k}"), F.split("text", patterns[k], -1)).otherwise(none)
     df = df.withColumns(cut)
+    df = df.withColumns({f"{level}_{k}": F.expr(_matches(f"{level}_{k}")) for level in ("base", "loose") for k in KINDS})
+    df = df.withColumns({f"{level}_{k}": F.expr(_spans(f"{level}_{k}")) for level in ("base", "loose") for k in KINDS})
+
+    def made(i: int, base: bool, spans: str) -> str:
+        return f"transform({spans}, x -> named_struct('kind', {i}, 's', x.s, 'e', x.e, 'v', x.v, 'base', {str(base).lower()}, 'before', x.before, 'after', x.after))"
+
+    strict = {k: made(i, True, f"filter(base_{k}, x -> {VALID[k].replace('(v,', '(x.v,')})") for i, k in enumerate(KINDS)}
+    df = df.withColumn("taken", F.expr(f"concat({', '.join(strict.values())})"))
     for i, k in enumerate(KINDS):
-        valid = VALID[k].replace("(v,", "(x.v,")
-        made = f"named_struct('kind', {i}, 's', x.s, 'e', x.e, 'v', x.v, 'base', true)"
-        df = df.withColumn(f"base_{k}", F.expr(f"transform(filter({_spans(f'base_{k}')}, x -> {valid}), x -> {made})"))
-    df = df.withColumn("taken", F.concat(*[F.col(f"base_{k}") for k in KINDS]))
-    for i, k in enumerate(KINDS):
-        made = f"named_struct('kind', {i}, 's', x.s, 'e', x.e, 'v', x.v, 'base', false)"
-        free = f"filter({_spans(f'loose_{k}')}, x -> not exists(taken, t -> t.s < x.e and x.s < t.e))"
-        df = df.withColumn("taken", F.expr(f"concat(taken, transform({free}, x -> {made}))"))
-    around = "transform(taken, x -> struct(x.*, substring(text, greatest(x.s - 23, 1), least(x.s, 24)) as before, substring(text, x.e + 1, 1) as after))"
-    around = around.replace("x.*", "x.kind, x.s, x.e, x.v, x.base")
+        df = df.withColumn("sorted", F.expr("array_sort(transform(taken, t -> struct(t.s, t.e)))"))
+        largest = _scanned("sorted", {"most": "-1"}, {"most": "greatest(b.most, x.e)"}, "int", "greatest(b.most, x.e)")
+        df = df.withColumns({"starts": F.expr("transform(sorted, t -> t.s)"), "ends": F.expr(largest)})
+        df = df.withColumn("taken", F.expr(f"concat(taken, {made(i, False, _free(f'loose_{k}', 'starts', 'ends'))})"))
     votes = ", ".join(f"cast({v} as tinyint)" for v in LABELERS.values())
     bits = ", ".join(f"cast({f} as int)" for f in FEATURES)
-    df = df.withColumn("spans", F.expr(around))
-    df = df.withColumn("spans", F.expr(f"transform(spans, x -> struct(x.kind, x.s, x.e, x.v, x.base, array({votes}) as votes))"))
+    df = df.withColumn("spans", F.expr(f"transform(taken, x -> struct(x.kind, x.s, x.e, x.v, x.base, array({votes}) as votes))"))
     df = df.withColumn("spans", F.expr(f"transform(spans, x -> struct(x.kind, x.s, x.e, x.base, x.votes, array({bits}) as features))"))
     return df.select("row", "text", "spans")
 
@@ -221,10 +262,22 @@ def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     found = candidates(docs, docs.columns, text_col)
     model = train(written(found.select("spans"), "candidates"))
+    out = decided(found, model).withColumn("ordered", F.expr("array_sort(transform(spans, x -> struct(x.s, x.e, x.kind)))"))
+    # What lies between the spans, as (from, to, kind of the span that follows); a span inside an earlier one makes none.
+    gap = "if(x.s >= b.at, named_struct('a', b.at, 'e', x.s, 'kind', x.kind), cast(null as struct<a:int,e:int,kind:int>))"
+    gaps = _scanned("ordered", {"at": "0"}, {"at": "greatest(b.at, x.e)"}, "struct<a:int,e:int,kind:int>", gap)
+    out = out.withColumns({"gaps": F.expr(f"filter({gaps}, g -> g is not null)"), "end": F.expr("array_max(transform(spans, x -> x.e))")})
+    # The text in lines of fixed length, so that a part is taken without a walk from the start.
+    out = out.withColumn("lines", F.when(F.size("spans") > 0, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{LINE}}}"), F.lit(0))).otherwise(F.array().cast("array<string>")))
     kinds = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
-    replaced = f"""aggregate(array_sort(transform(spans, x -> struct(x.s, x.e, x.kind))), named_struct('at', 0, 'out', ''),
-        (a, x) -> CASE WHEN x.s >= a.at THEN named_struct('at', x.e, 'out', concat(a.out, substring(text, a.at + 1, x.s - a.at), array({kinds})[x.kind]))
-            ELSE named_struct('at', greatest(a.at, x.e), 'out', a.out) END,
-        a -> concat(a.out, substring(text, a.at + 1)))"""
-    text = F.when(F.size("spans") > 0, F.expr(replaced)).otherwise(F.col(f"row.`{text_col}`"))
-    return decided(found, model).select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    parts = f"transform(gaps, g -> concat({_between('g.a', 'g.e')}, array({kinds})[g.kind]))"
+    rest = _between("end", f"size(lines) * {LINE}")
+    text = F.when(F.size("spans") > 0, F.expr(f"concat(array_join({parts}, ''), {rest})")).otherwise(F.col(f"row.`{text_col}`"))
+    return out.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def _between(a: str, e: str) -> str:
+    """The signs from ``a`` up to ``e`` out of the lines that hold them."""
+    first, last = f"({a}) div {LINE}", f"(({e}) - 1) div {LINE}"
+    held = f"array_join(slice(lines, {first} + 1, {last} - {first} + 1), '')"
+    return f"if(({e}) > ({a}), substring({held}, ({a}) % {LINE} + 1, ({e}) - ({a})), '')"

@@ -105,3 +105,28 @@ def test_long_runs_take_no_more_than_their_length(spark, sign):
     start = time.time()
     pd_.personal_data(docs(spark, [(1, sign * 60_000)])).collect()
     assert time.time() - start < 60
+
+
+def test_a_text_of_many_spans(spark):
+    """A contact list: the same spans as the patterns give, with context from the right places, in a time that follows its length."""
+    import time
+
+    lines = [f"é{i} user{i}@mail{i % 97}.com, +1 555 {100 + i % 900} {1000 + i % 9000} \U0001f600" if i % 3 == 0 else f"u{i}@x.org;10.0.{i % 256}.1" for i in range(12_000)]
+    text = "\n".join(lines)
+    took = {}
+    for n in (3_000, 12_000):
+        part = "\n".join(lines[:n])
+        start = time.time()
+        (r,) = pd_.personal_data(docs(spark, [(1, part)])).collect()
+        took[n] = time.time() - start
+    strict = listed(base_spans(text)).split(",")
+    assert set(strict) <= set(r["spans"].split(",")) and r["n_email"] == 12_000 and len(strict) > 20_000
+    assert took[12_000] < 90
+    (r,) = pd_.redacted(docs(spark, [(1, text)])).collect()
+    at, wanted = 0, []
+    spans = sorted((int(a), int(b), k) for k, a, b in (x.split(":") for x in pd_.personal_data(docs(spark, [(1, text)])).first()["spans"].split(",")))
+    for a, b, k in spans:
+        if a >= at:
+            wanted += [text[at:a], f"[{k.upper()}]"]
+        at = max(at, b)
+    assert r["text"] == "".join(wanted) + text[at:]
