@@ -41,9 +41,13 @@ def learn(
     return {key: found[f"w{i}"] for i, key in enumerate(wanted)}
 
 
+def is_wide(name: str, learned: dict[tuple[str, str], float], limit: int = INDEX_LIMIT) -> bool:
+    """Whether a column has more labels than ``indexer`` may hold in the driver, by an estimate; ``label_table`` takes such columns."""
+    return learned["distinct", name] > limit * 1.1
+
+
 def check_cardinality(columns: Sequence[str], learned: dict[tuple[str, str], float], limit: int = INDEX_LIMIT) -> None:
-    """This index keeps its labels in the driver, so columns with too many are refused; ``label_table`` takes those."""
-    wide = [c for c in columns if learned["distinct", c] > limit * 1.1]
+    wide = [c for c in columns if is_wide(c, learned, limit)]
     if wide:
         raise ValueError(f"more than {limit} values, drop or group first: {wide}")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Bucketizer, VectorAssembler
@@ -17,7 +17,7 @@ from gritmill.functions.columns import col, known_double
 from gritmill.functions.moments_in_time import rush_hour
 from gritmill.functions.rows import rows_from
 from gritmill.operators.cleaning import flags_to_int
-from gritmill.operators.encoding import check_cardinality, indexer, learn, one_hot
+from gritmill.operators.encoding import INDEX_LIMIT, check_cardinality, index_labels, indexer, is_wide, label_table, learn, one_hot
 from gritmill.operators.exploring import group_counts
 from gritmill.plans.feature_plan import Binning, FeaturePlan, Interaction, RegexFlag
 
@@ -182,16 +182,23 @@ class FittedFeatures:
     stages: PipelineModel
     scales: dict[str, tuple[float, float]]
     features: list[str]
+    labels: dict[str, DataFrame] = field(default_factory=dict)  # label tables of columns with more labels than a driver holds
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Every split goes through the same projections, edges, labels and scales."""
         plain = add_plain_features(df, self.plan)
-        encoded = scale(self.stages.transform(plain), self.scales)
+        staged = self.stages.transform(plain)
+        for name, table in self.labels.items():
+            staged = index_labels(staged, name, table)
+        encoded = scale(staged, self.scales)
         return encoded.drop(*sorted(self.plan.consumed() & set(encoded.columns)))
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.stages.write().overwrite().save(f"{path}/stages")
-        rest = json.dumps({"plan": json.loads(self.plan.to_json()), "scales": self.scales, "features": self.features})
+        wide = sorted(self.labels)
+        for i, name in enumerate(wide):
+            self.labels[name].write.mode("overwrite").parquet(f"{path}/labels/{i}")
+        rest = json.dumps({"plan": json.loads(self.plan.to_json()), "scales": self.scales, "features": self.features, "wide": wide})
         spark.createDataFrame([(rest,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/plan")
 
     @staticmethod
@@ -202,14 +209,16 @@ class FittedFeatures:
             stages=PipelineModel.load(f"{path}/stages"),
             scales={k: tuple(v) for k, v in rest["scales"].items()},
             features=rest["features"],
+            labels={name: spark.read.parquet(f"{path}/labels/{i}") for i, name in enumerate(rest.get("wide", []))},
         )
 
 
-def fit_features(train: DataFrame, plan: FeaturePlan) -> FittedFeatures:
+def fit_features(train: DataFrame, plan: FeaturePlan, index_limit: int = INDEX_LIMIT) -> FittedFeatures:
     """Learn bin edges, category labels and scales on train.
 
     Two passes whatever the number of columns: one aggregate, and the label counts of all indices. Hand
-    in a written table: passes over a long lineage would repeat it.
+    in a written table: passes over a long lineage would repeat it. A column with more labels than ``index_limit`` gets its index from a table
+    instead of the driver, at one more pass each; as one column for each label it is refused.
     """
     plain = add_plain_features(train, plan)
     present = set(train.columns)
@@ -223,7 +232,9 @@ def fit_features(train: DataFrame, plan: FeaturePlan) -> FittedFeatures:
         moments_of=scaled if plan.scaling == "standard" else [],
         distinct_of=indexed,
     )
-    check_cardinality(indexed, learned)
+    check_cardinality(hot, learned, index_limit)
+    wide = [c for c in indexed if is_wide(c, learned, index_limit)]
+    indexed = [c for c in indexed if c not in wide]
     stages: list = []
     if bins:
         stages.append(bucketizer(edges_from(bins, learned)))
@@ -236,11 +247,12 @@ def fit_features(train: DataFrame, plan: FeaturePlan) -> FittedFeatures:
         stages=Pipeline(stages=stages).fit(plain),
         scales=scales_from(scaled, plan.scaling, learned) if plan.scaling else {},
         features=feature_columns(train, plan),
+        labels={c: label_table(plain, c) for c in wide},
     )
 
 
-def apply_plan(train: DataFrame, test: DataFrame, plan: FeaturePlan) -> tuple[DataFrame, DataFrame, FittedFeatures]:
-    fitted = fit_features(train, plan)
+def apply_plan(train: DataFrame, test: DataFrame, plan: FeaturePlan, **how) -> tuple[DataFrame, DataFrame, FittedFeatures]:
+    fitted = fit_features(train, plan, **how)
     return fitted.transform(train), fitted.transform(test), fitted
 
 

@@ -245,5 +245,6 @@ def prune(
         stages=fitted.stages,
         scales=fitted.scales,
         features=[f for f in fitted.features if f not in doomed],
+        labels=fitted.labels,
     )
     return [s.drop(*doomed) for s in splits], slimmer

@@ -11,15 +11,18 @@ from dataclasses import dataclass
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from gritmill.functions.columns import col, missing
 from gritmill.functions.moments_in_time import seconds_between
 from gritmill.operators import cleaning as clean
-from gritmill.operators import evaluating as evaluate
 from gritmill.operators import features as feat
 from gritmill.operators import gates, imputing
 from gritmill.operators import profiling as prof
 from gritmill.operators import training as fit
+from gritmill.operators.leaking import leaking_features
+from gritmill.operators.runs import evaluated, keep_training
+from gritmill.operators.searching import Found, search
 from gritmill.operators.splitting import balance_classes, require_same_schema, written_key_split
 from gritmill.plans.feature_plan import FeaturePlan, RegexFlag
 from gritmill.plans.planner import build_plan, pattern_flags, plan_rows
@@ -216,6 +219,7 @@ class Engineered:
     fitted: feat.FittedFeatures
     checks: DataFrame
     decision: DataFrame
+    leaks: DataFrame  # features that tell the target by themselves, whatever their lineage says
 
 
 def engineer(train: DataFrame, test: DataFrame, plan: FeaturePlan) -> Engineered:
@@ -226,28 +230,46 @@ def engineer(train: DataFrame, test: DataFrame, plan: FeaturePlan) -> Engineered
     odd = materialise(gates.suspicious_flags(gates.engineered_profile(train, plan.target), plan.flags), "odd_flags")
     decision = gates.feature_gate(odd, checks, len(plan.flags), len(fitted.features))
     (train, test), fitted = gates.prune(odd, fitted, train, test)
-    return Engineered(train, test, fitted, checks, decision)
+    numbers = [f.name for f in train.schema if f.name in fitted.features and isinstance(f.dataType, NumericType)]
+    leaks = materialise(leaking_features(train, numbers, plan.target), "leaks")
+    return Engineered(train, test, fitted, checks, decision, leaks)
+
+
+def vectors_of(ready: Engineered) -> tuple[DataFrame, DataFrame]:
+    """Balanced training vectors with ``_row``, a hash of all plain columns that tells nearly all rows apart, and test vectors."""
+    label, names = ready.fitted.plan.target, ready.fitted.features
+    plain = [col(f.name) for f in ready.train.schema if not isinstance(f.dataType, VectorUDT)]
+    hashed = ready.train.withColumn("_row", F.xxhash64(*plain))
+    vectors = materialise(feat.assemble(hashed, names, keep=[label, "_row"]), "vectors")
+    train = materialise(balance_classes(vectors, label, ["_row"]), "balanced")
+    return train, materialise(feat.assemble(clean.pad_columns(ready.test, names), names, keep=[label]), "test_vectors")
 
 
 def compare_models(
     ready: Engineered,
     grids: Mapping[str, Mapping[str, Sequence[object]]],
     iteration: int = 1,
+    keep: tuple[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame, dict[str, fit.Trained]]:
     """Leaderboard on the test split, the decision, and the trained models.
 
-    Classes are balanced by a hash of all plain columns, which tells nearly all rows apart.
+    ``keep`` names a folder and a run: models, metrics, importances, curves, folds and settings are stored there.
     """
-    label, names = ready.fitted.plan.target, ready.fitted.features
-    plain = [col(f.name) for f in ready.train.schema if not isinstance(f.dataType, VectorUDT)]
-    hashed = ready.train.withColumn("_row", F.xxhash64(*plain))
-    vectors = materialise(feat.assemble(hashed, names, keep=[label, "_row"]), "vectors")
-    train = materialise(balance_classes(vectors, label, ["_row"]), "balanced")
-    test = materialise(feat.assemble(clean.pad_columns(ready.test, names), names, keep=[label]), "test_vectors")
-    models, reports = {}, {}
-    for name, grid in grids.items():
-        models[name] = fit.train_classifier(train, name, label, grid, fold_keys=["_row"])
-        scored = fit.score(models[name].model, test)
-        reports[name] = evaluate.evaluate(scored, label, evaluate.positive_score(scored))
-    board = materialise(evaluate.leaderboard(reports), "leaderboard")
+    label = ready.fitted.plan.target
+    train, test = vectors_of(ready)
+    models = {name: fit.train_classifier(train, name, label, grid, fold_keys=["_row"]) for name, grid in grids.items()}
+    if keep:
+        board = keep_training(*keep, models, train, test, label)
+    else:
+        board, _ = evaluated({name: m.model for name, m in models.items()}, test, label)
     return board, fit.next_action(fit.pick_winner(board, "model", "auc_roc"), iteration), models
+
+
+def search_models(ready: Engineered, grids: Mapping[str, Mapping[str, Sequence[object]]], keep: tuple[str, str] | None = None, **how) -> Found:
+    """The search with its second try on the engineered splits; ``keep`` stores what it trained, as in ``compare_models``."""
+    label = ready.fitted.plan.target
+    train, test = vectors_of(ready)
+    found = search(train, test, label, ["_row"], grids, **how)
+    if keep:
+        keep_training(*keep, found.trained, train, test, label)
+    return found

@@ -210,3 +210,26 @@ def test_buckets_need_no_further_shuffle_and_give_the_same_rows(spark):
         plan = found[0]._jdf.queryExecution().executedPlan().toString()
         assert ("Bucketed: true" in plan and "Exchange" not in plan) == (most == 10_000)
     assert [p.count() for p in imputing.fill_in_buckets(train.limit(0), test.limit(0), keys, measures)] == [0, 0]
+
+
+def test_plans_index_wide_columns_by_a_table(spark):
+    from gritmill.operators import features as feat
+    from gritmill.plans.feature_plan import Encoding, FeaturePlan
+
+    rng = random.Random(9)
+    rows = [(i, i % 2, f"k{rng.randrange(200)}", rng.choice("abc")) for i in range(1500)]
+    train = spark.createDataFrame(rows, "i int, y int, wide string, few string")
+    test = spark.createDataFrame([(1, 0, "new", "a"), (2, 1, None, "zz"), (3, 1, rows[0][2], "b")], "i int, y int, wide string, few string")
+    plan = FeaturePlan(target="y", encodings=(Encoding("wide", "string_index_only"), Encoding("few", "string_index_only")), keys=("i",))
+    usual = feat.fit_features(train, plan)
+    tabled = feat.fit_features(train, plan, index_limit=20)
+    assert set(tabled.labels) == {"wide"} and not usual.labels
+    path = fresh_path(spark, "fitted")
+    tabled.save(spark, path)
+    again = feat.FittedFeatures.load(spark, path)
+    names = ["i", "wide_idx", "few_idx"]
+    for part in (train, test):
+        wanted = sorted(map(tuple, usual.transform(part).select(*names).collect()))
+        assert sorted(map(tuple, tabled.transform(part).select(*names).collect())) == wanted == sorted(map(tuple, again.transform(part).select(*names).collect()))
+    with pytest.raises(ValueError, match="more than 20"):
+        feat.fit_features(train, FeaturePlan(target="y", encodings=(Encoding("wide", "string_index_ohe"),)), index_limit=20)

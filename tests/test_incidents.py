@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from gritmill.operators.runs import evaluate_saved_models
 from gritmill.plans import incidents
 from gritmill.session import fresh_path
 
@@ -113,7 +114,11 @@ def test_all_stages(spark, splits):
     grids = {"LogisticRegression": {"regParam": [0.01], "maxIter": [10]}, "RandomForestClassifier": {"numTrees": [5], "maxDepth": [3]}}
     board, decision, models = incidents.compare_models(ready, grids)
     assert set(models) == set(grids) and board.count() == 2
-    assert decision.first()["winner"] in grids
+    assert decision.first()["winner"] in grids and ready.leaks.columns == ["feature", "auc", "strength"]
+    root = fresh_path(spark, "runs")
+    found = incidents.search_models(ready, grids, (root, "first"), portfolio=(tuple(grids),), rungs=((1.0, 1.0),))
+    again = evaluate_saved_models(spark, root, incidents.vectors_of(ready)[1], "high_severity").collect()
+    assert {r["model"] for r in again} == set(found.trained) == set(grids) and found.winner in grids
 
 
 def test_raw_table_is_rejected(stored):
