@@ -260,6 +260,31 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return LanguageModel(languages, weights[: n << BITS].reshape(-1, n), weights[n << BITS :].reshape(n, n).astype(np.float64))
 
 
+SPANS = "array<struct<start:int,end:int,lang:string>>"
+
+
+def _runs(words: Words, label: np.ndarray, languages: list[str], some: np.ndarray) -> pa.Array:
+    """Runs of words of one label, as (start, end, language) in code points of their text, for the texts marked in ``some``."""
+    n = len(words.first) - 1
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
+    if not len(label):
+        return pa.array([[]] * n, kind)
+    opens = np.ones(len(label), bool)
+    opens[1:] = label[1:] != label[:-1]
+    opens[words.first[:-1][words.first[:-1] < len(label)]] = True
+    first = np.flatnonzero(opens)
+    last = np.append(first[1:], len(label)) - 1
+    owner = np.searchsorted(words.first, first, "right") - 1
+    kept = some[owner]
+    first, last, owner = first[kept], last[kept], owner[kept]
+    points = np.concatenate(([0], np.cumsum((words.raw & 0xC0) != 0x80)))  # code points before each byte
+    base = points[words.begin[owner]]
+    start, end = points[words.start[first]] - base, points[words.start[last] + words.length[last]] - base
+    names = pa.DictionaryArray.from_arrays(pa.array(label[first].astype(np.int32)), pa.array(languages, pa.string())).cast(pa.string())
+    runs = pa.StructArray.from_arrays([pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), names], ["start", "end", "lang"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)), runs)
+
+
 def _identified(shared):
     def identify(batches):
         model: LanguageModel | None = shared.value
@@ -270,9 +295,10 @@ def _identified(shared):
             some = np.diff(ascii_letter) > 0
             for i in np.flatnonzero(~some & (n > 0)).tolist():  # no ASCII letter: signs beyond ASCII need not be letters
                 some[i] = any(c.isalpha() for c in batch.column("text")[i].as_py())
-            langs, scores = ["und"] * len(n), np.zeros(len(n))
+            langs, scores, label = ["und"] * len(n), np.zeros(len(n)), np.zeros(0, np.int64)
             if model is not None and len(words.start):
                 p = model.words(words)
+                label = p.argmax(axis=1)
                 has = np.flatnonzero(some)
                 running = np.concatenate((np.zeros((1, p.shape[1])), np.cumsum(p, axis=0)))
                 mean = (running[words.first[has + 1]] - running[words.first[has]]) / n[has, None]
@@ -280,17 +306,20 @@ def _identified(shared):
                 for i, k in zip(has.tolist(), best.tolist()):
                     langs[i] = model.languages[k]
                 scores[has] = np.clip(mean[np.arange(len(has)), best], 0, 1)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(langs, pa.string()), pa.array(scores)], ["row", "lang_pred", "score"])
+            spans = _runs(words, label, model.languages if model is not None else [], some)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(langs, pa.string()), pa.array(scores), spans], ["row", "lang_pred", "score", "spans"])
 
     return identify
 
 
 def identified(docs: DataFrame, model: LanguageModel | None, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``row`` (a struct of the columns ``keep``), ``lang_pred`` and ``score``, the mean probability of that language over the words.
+    """``row`` (a struct of the columns ``keep``), ``lang_pred`` and ``score``, the mean probability of that language over the words, and ``spans``.
 
+    ``spans`` labels the words of code-switched text: (start, end, language) of each run of words whose most probable language is the same, in code
+    points, from the first sign of the run's first word to the end of its last one; none for texts that are ``und``.
     A text that is null or has no letter is ``und`` with score 0, and so is every text without a model. Ties go to the
     language that sorts first.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_identified(shared), with_fields(rows.select("row"), "lang_pred string, score double"))
+    return rows.mapInArrow(_identified(shared), with_fields(rows.select("row"), f"lang_pred string, score double, spans {SPANS}"))

@@ -75,6 +75,40 @@ def test_odd_rows(spark):
     assert all(by[k]["lang_pred"] in ("en", "de") and 0 <= by[k]["score"] <= 1 for k in (4, 5, 8, 11, 52, 53))
 
 
+def test_spans_label_the_words_of_code_switched_text(spark):
+    import re
+
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    model = languages.train(docs(spark, [(i, sentence(rng, lang, 30), lang) for i, lang in enumerate(["en", "de", "fr"] * 40)]))
+    mixed = [(i, " \U0001f600 12, ".join(sentence(rng, rng.choice(["en", "de", "fr"]), rng.randrange(8, 20)) for _ in range(rng.randrange(1, 6)))) for i in range(60)]
+    rows = mixed + [(100, None), (101, "12 …"), (102, ""), (103, "thing"), (104, "\n… é… ing")]
+    found = {r["row"]["doc_id"]: r for r in languages.identified(docs(spark, rows), model, ["doc_id"]).collect()}
+    right = total = 0
+    for i, text in rows:
+        text = text or ""
+        places = [m.span() for m in re.finditer("[A-Za-z\x80-\U0010ffff]+", text)]
+        best = model.words(languages.words_of(pa.array([text]), languages.LETTERS)).argmax(axis=1).tolist() if places else []
+        assert len(best) == len(places)
+        wanted = []
+        for (a, b), k in zip(places, best, strict=True):
+            if wanted and wanted[-1][2] == model.languages[k]:
+                wanted[-1] = (wanted[-1][0], b, model.languages[k])
+            else:
+                wanted.append((a, b, model.languages[k]))
+        assert [tuple(x) for x in found[i]["spans"]] == (wanted if found[i]["lang_pred"] != "und" else [])
+    pairs = [(*rng.sample(["en", "de", "fr"], 2), i) for i in range(30)]
+    halves = {i: (sentence(rng, a, 25), sentence(rng, b, 25)) for a, b, i in pairs}
+    found = {r["row"]["doc_id"]: r["spans"] for r in languages.identified(docs(spark, [(i, " ".join(h)) for i, h in halves.items()]), model, ["doc_id"]).collect()}
+    for a, b, i in pairs:
+        cut, end = len(halves[i][0]), len(" ".join(halves[i]))
+        for lang, (x, y) in ((a, (0, cut)), (b, (cut + 1, end))):
+            right += sum(max(0, min(e, y) - max(s, x)) for s, e, k in map(tuple, found[i]) if k == lang)
+            total += y - x
+    assert right > 0.85 * total
+
+
 def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([], DOCS)
     assert languages.train(none) is None
