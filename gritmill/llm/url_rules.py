@@ -60,10 +60,11 @@ class Automaton:
     @classmethod
     def of(cls, globs: list[str]) -> Automaton:
         parsed = [_parsed(g) for g in globs]
-        # Signs are bytes: a pattern's sign beyond ASCII becomes several.
+        # Signs are bytes: a pattern's sign beyond ASCII becomes several. ``?`` takes the first byte of a sign and stays over those that continue it.
         places = [[b for s in signs for b in ([-1] if s == "?" else list(s.encode()))] for signs, _ in parsed]
-        named = sorted({b for p in places for b in p if b >= 0} | {0x2F})
+        named = sorted({b for p in places for b in p if b >= 0} | {0x2F, *range(0x80, 0xC0)})
         kind = {b: i + 1 for i, b in enumerate(named)}
+        follows = np.array([False, *(0x80 <= b < 0xC0 for b in named)])
         states = sum(len(p) + 1 for p in places)
         words = -(-states // 64)
         take, stay = (np.zeros((words, len(named) + 1), np.uint64) for _ in range(2))
@@ -72,7 +73,9 @@ class Automaton:
             bytes_before = np.cumsum([0, *(1 if s == "?" else len(s.encode()) for s in signs)])
             start[bit // 64] |= np.uint64(1 << bit % 64)
             for i, b in enumerate(place, bit + 1):
-                take[i // 64, slice(None) if b < 0 else kind[b]] |= np.uint64(1 << i % 64)
+                take[i // 64, ~follows if b < 0 else kind[b]] |= np.uint64(1 << i % 64)
+                if b < 0:
+                    stay[i // 64, follows] |= np.uint64(1 << i % 64)
             for after, star in stars.items():
                 i = bit + int(bytes_before[after])
                 mask = np.uint64(1 << i % 64)
