@@ -113,7 +113,7 @@ def _long_texts():
         yield from ((path.stem, t) for t in dict.fromkeys((text, terms, terms.removesuffix("END OF TERMS AND CONDITIONS"))))
 
 
-#: Identifier and text of the long licences, which the SQL twin does not hold.
+#: Identifier and text of the long licences.
 LONG_TEXTS = tuple(_long_texts())
 
 #: Spellings that count as one: every other spelling of a word, and the one that stands for them.

@@ -18,8 +18,8 @@ COPYRIGHT_LINE = (
     "|[(]c[)]( ?[0-9]|[^\n]*((19|20)[0-9][0-9]|all rights reserved)))[^\n]*"
     "|(^|\n)[ \t#*/-]*all rights reserved[.]?[ \t\r]*(?=\n|$)"
 )
-# The SQL twin's own pattern, which has no look-ahead; it leaves lines like "Copyright (c) Name" and every second "all rights reserved".
-COPYRIGHT_LINE_SQL = "(^|\n)[ \t#*/-]*(copyright( ?[(]c[)]| ?©)?[ :]+([0-9]|<|\\[|the |by )|[(]c[)] ?[0-9]|©)[^\n]*|(^|\n)[ \t#*/-]*all rights reserved[.]?[ \t\r]*(\n|$)"
+# For engines without a look-ahead: the same on a text whose line ends are doubled, so that a line that goes takes one of them along and leaves one to the next.
+COPYRIGHT_LINE_SQL = COPYRIGHT_LINE.replace("(?=\n|$)", "(\n|$)")
 SIGNS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 # Words stand between two spaces, so a replaced word leaves its neighbours' spaces alone.
 SPACED = [(f" {other.replace(' ', '  ')} ", f" {one.replace(' ', '  ')} ") for other, one in SPELLINGS]
@@ -59,7 +59,8 @@ def _quoted(text: str) -> str:
 
 def normalised_sql(text: str) -> str:
     """The canonical form as DuckDB SQL."""
-    plain = f"regexp_replace(translate({text}, '{_UPPER}', '{_LOWER}'), {_quoted(COPYRIGHT_LINE_SQL)}, chr(10), 'g')"
+    lines = f"replace(translate({text}, '{_UPPER}', '{_LOWER}'), chr(10), chr(10) || chr(10))"
+    plain = f"regexp_replace({lines}, {_quoted(COPYRIGHT_LINE_SQL)}, chr(10), 'g')"
     out = f"regexp_replace(' ' || {plain} || ' ', {_quoted(SIGNS)}, '  ', 'g')"
     for other, one in SPACED:
         out = f"replace({out}, '{other}', '{one}')"
@@ -67,7 +68,7 @@ def normalised_sql(text: str) -> str:
 
 
 LICENCES_SQL = f"""
-    WITH texts(licence, text) AS (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in TEXTS)}),
+    WITH texts(licence, text) AS (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in TEXTS + LONG_TEXTS)}),
     known AS (SELECT sha256({normalised_sql("text")}) AS digest, min(licence) AS licence FROM texts GROUP BY 1),
     docs AS (SELECT doc_id, sha256({normalised_sql("text")}) AS digest FROM documents)
     SELECT doc_id, digest, licence FROM docs LEFT JOIN known USING (digest)

@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import random
 
+import duckdb
+
 from gritmill.llm.licence_texts import BSD_CONDITIONS, BSD_WARRANTY, LONG, MIT_BODY, ZLIB_BODY
-from gritmill.llm.licences import licences
+from gritmill.llm.licences import LICENCES_SQL, licences
 from llm_cases import DOCS, clashing, docs, odd_rows
+from oracle import differences
 
 
 def test_variants_are_found_and_others_not(spark):
@@ -54,3 +57,23 @@ def test_odd_rows(spark):
     digests = {r["doc_id"]: r["digest"] for r in found}
     assert digests[1] is None and digests[2] == digests[3] == digests[10] and digests[8] == digests[9]
     assert licences(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_the_sql_twin_knows_all_that_the_query_knows(spark, tmp_path):
+    """Copyright lines of all forms, one after the other too, long licences and odd rows: the same digests and licences on both sides."""
+    rng = random.Random(4)
+    heads = [
+        "Copyright (c) Microsoft Corporation.", "Copyright © Some One", "(c) 2010 A", "(c) Some One, 2010-2012", "(c) A. All rights reserved.", "  # Copyright: the authors",
+        "All rights reserved.", "/* all rights reserved", "** All Rights Reserved. \t\r", "(c) a clause", "all rights reserved by nobody", "", " ", "© 1999", "text © in a line",
+    ]
+    bodies = [MIT_BODY, BSD_CONDITIONS + BSD_WARRANTY, ZLIB_BODY, "some words", ""]
+    full = [p.read_text() for p in sorted(LONG.glob("*.txt"))]
+    rows = [(1000 + i, "\n".join(rng.choices(heads, k=rng.randrange(6))) + rng.choice(["\n", "\n\n", " "]) + rng.choice(bodies) + rng.choice(["", "\n" + rng.choice(heads)])) for i in range(400)]
+    rows += list(enumerate(full)) + [(100 + i, "Copyright (c) 2001 X\nAll rights reserved.\n" + t.upper()) for i, t in enumerate(full)] + odd_rows(rng)
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    found = licences(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    assert differences(found, con, LICENCES_SQL) == []
+    known = {r["licence"] for r in found.collect()}
+    assert {"MIT", "BSD-2-Clause", "Zlib", "Apache-2.0", "GPL-3.0", None} <= known
