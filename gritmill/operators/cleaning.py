@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from gritmill.functions.columns import col, known, missing, recode
 from gritmill.functions.moments_in_time import calendar_parts, durations, parse_timestamp
 from gritmill.functions.rows import rows_from
+from gritmill.operators.joining import BROADCAST_ROWS
+from gritmill.session import materialise
 
 
 def drop_prefixed(df: DataFrame, prefixes: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
@@ -141,8 +143,8 @@ def drop_copies(df: DataFrame, surrogate: Sequence[str] = ()) -> DataFrame:
 def first_per_key(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by the tie-break columns, then by all others.
 
-    An aggregate rather than a ranking window: a key that owns a third of the rows is reduced to one
-    row per map task before it is shuffled.
+    An aggregate rather than a ranking window: a key that owns a third of the rows is reduced to one row per map task before it is shuffled. Its buffer
+    holds whole rows, though, so it sorts them on both sides of the shuffle. ``first_of_rare_copies`` spares that where most keys have one row.
     """
     rest = [c for c in df.columns if c not in keys and c not in tie_break]
     ordered = [*tie_break, *rest]
@@ -150,6 +152,26 @@ def first_per_key(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str])
     return best.select(*[F.col("_row")[c].alias(c) if c in ordered else col(c) for c in df.columns])
 
 
+def first_of_rare_copies(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str], few: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``first_per_key``, for a table that is cheap to read twice and in which few keys have several rows.
+
+    A first pass reads the keys alone and counts their hashes; only these are shuffled. The hashes of several rows, if no more than ``few``, are
+    broadcast: rows without one stay where they are, the others are reduced. Keys that merely share a hash are reduced each by itself, so the result is exact. With
+    more hashes, all rows go through ``first_per_key``.
+    """
+    place = F.xxhash64(*[col(k) for k in keys])
+    shared = materialise(df.groupBy(place.alias("_place")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_place"), "shared_keys")
+    n = shared.count()
+    if n > few:
+        return first_per_key(df, keys, tie_break)
+    if not n:
+        return df
+    marked = df.withColumn("_place", place)
+    alone = marked.join(F.broadcast(shared), "_place", "left_anti").select(*[col(c) for c in df.columns])
+    several = marked.join(F.broadcast(shared), "_place", "left_semi").select(*[col(c) for c in df.columns])
+    return alone.unionByName(first_per_key(several, keys, tie_break))
+
+
 def copy_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of rows beyond the first of each key."""
     return (

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,3 +155,15 @@ def test_median_of_mixed_gaps(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,), (NAN,), (None,)], "x double")
     got = imputing.group_medians(df.withColumn("g", F.lit(1)), ["g"], ["x"]).first()["x_median"]
     assert math.isclose(got, 2.5)
+
+
+def test_rare_copies_are_reduced_like_all(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, i % 400]), f"k{i % 3}", rng.randrange(3), rng.choice([None, 1.5, float("nan")])) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a int, b string, t int, v double").repartition(5)
+    wanted = sorted(map(repr, clean.first_per_key(df, ["a", "b"], ["t"]).collect()))
+    for few in (10_000, 3):
+        assert sorted(map(repr, clean.first_of_rare_copies(df, ["a", "b"], ["t"], few).collect())) == wanted
+    alone = clean.first_of_rare_copies(df.filter("a is not null").dropDuplicates(["a", "b"]), ["a", "b"], ["t"])
+    assert alone.count() == df.filter("a is not null").select("a", "b").distinct().count()
+    assert clean.first_of_rare_copies(df.limit(0), ["a", "b"], ["t"]).count() == 0
