@@ -34,6 +34,11 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, schema
     return overwrite_parquet(read_csv(spark, csv_path, schema), parquet_path)
 
 
+def bucket_count(spark: SparkSession, wanted: int) -> int:
+    """At least one, and no more than the session allows; beyond that the buckets grow instead."""
+    return max(1, min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))))
+
+
 def write_bucketed(df: DataFrame, keys: Sequence[str], buckets: int, path: str) -> tuple[DataFrame, str]:
     """The table at ``path`` in buckets of its keys, one file each, and its name in the catalog.
 
