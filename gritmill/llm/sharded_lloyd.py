@@ -16,7 +16,6 @@ distances don't fit into 64 bits stop the job with a ValueError.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 from gritmill.llm.shared import discard, with_fields, written
 from gritmill.llm.slices import finite_vectors, first_vectors, floor_means, narrow, numbers, sliced, squared_distances
 from gritmill.session import fresh_path
+from gritmill.sources.tables import bucket_count, write_bucketed
 
 BLOCK_COLUMNS = 16
 SLICES_OF_BUCKET = 512
@@ -91,12 +91,10 @@ class BucketedSlices:
 
     def __init__(self, slices: DataFrame):
         self.spark = slices.sparkSession
-        self.name, self.path = f"gritmill_{uuid.uuid4().hex}", fresh_path(self.spark, "bucketed")
         n = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-slices.count() // SLICES_OF_BUCKET))
-        dealt = slices.repartition(n, "chunk", "block")
-        dealt.write.format("parquet").bucketBy(n, "chunk", "block").option("path", self.path).saveAsTable(self.name)
-        self.rows = self.spark.table(self.name)
-        self.rows._written_at = self.path
+        path = fresh_path(self.spark, "bucketed")
+        self.rows, self.name = write_bucketed(slices, ["chunk", "block"], bucket_count(self.spark, n), path)
+        self.rows._written_at = path
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
