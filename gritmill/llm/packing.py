@@ -37,6 +37,8 @@ CHARS_AT_ONCE = 1 << 21
 UNUSUAL = re.compile("[^\t\n\r\x20-\x7e¡-¬®-ɏЀ-ԯ‐-‧‰-⁞€]")
 LONG_WORD = 400  # longer words or gaps make the quicker library slow
 NO_SPECIAL = "<|"
+PORTION = 1 << 20
+BOUNDARY = re.compile("[A-Za-z0-9] (?=[A-Za-z])")
 
 
 @lru_cache(maxsize=4)
@@ -64,18 +66,26 @@ def plain(text: str) -> bool:
     return max(map(len, words), default=0) < LONG_WORD and len(text) - letters - len(words) < LONG_WORD
 
 
+def portions(text: str, most: int = PORTION) -> Iterator[str]:
+    """A text in portions of about ``most`` signs, cut where a token ends whatever comes before: between a letter or digit and the space before a letter."""
+    start = 0
+    while len(text) - start > most and (found := BOUNDARY.search(text, start + most)):
+        yield text[start : found.start() + 1]
+        start = found.start() + 1
+    yield text[start:]
+
+
+def _ids(text: str, tokenizer: str, quick) -> np.ndarray:
+    if quick is not None and plain(text):
+        return quick.encode_to_numpy(text, disallowed_special=())
+    # One at a time: a batch would start threads of its own in each task.
+    return np.asarray(_tokenizer(tokenizer).encode(text, add_special_tokens=False).ids, np.uint32)
+
+
 def token_ids(texts: list[str], tokenizer: str, ranks: tuple[str, str] | None = None) -> list[np.ndarray]:
     """Ids of every text by the tokenizer file. ``ranks`` names the same vocabulary for a quicker library and its pattern; plain texts take it."""
-    out: list[np.ndarray | None] = [None] * len(texts)
-    if ranks:
-        quick = _ranks(*ranks)
-        for i, text in enumerate(texts):
-            if plain(text):
-                out[i] = quick.encode_to_numpy(text, disallowed_special=())
-    rest = [i for i, ids in enumerate(out) if ids is None]
-    for i in rest:  # one at a time: a batch would start threads of its own in each task
-        out[i] = np.asarray(_tokenizer(tokenizer).encode(texts[i], add_special_tokens=False).ids, np.uint32)
-    return out
+    quick = _ranks(*ranks) if ranks else None
+    return [np.concatenate([_ids(p, tokenizer, quick) for p in portions(text)]) for text in texts]
 
 
 def cut_lengths(n: int, most: int) -> list[int]:

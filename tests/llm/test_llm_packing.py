@@ -96,6 +96,16 @@ def test_both_libraries_give_the_same_ids():
     assert packing.token_ids(["東京 <|endoftext|>"], PATH)[0].tolist()[-1] == 50256  # a special token's string counts as the token, as the library has it
 
 
+def test_long_texts_go_in_portions():
+    rng = random.Random(11)
+    text = " ".join(rng.choice(["word", "12", "it's", "é", "x ", "\n\n", "東京", "<|endoftext|>", "a.b", "\t"]) for _ in range(3000))
+    for most in (1, 50, 1000):
+        parts = list(packing.portions(text, most))
+        assert "".join(parts) == text and (len(parts) > 2 or most == 1000)
+        assert [i for p in parts for i in ids_of(p)[:-1]] == ids_of(text)[:-1]
+    assert list(packing.portions("x" * 100, 10)) == ["x" * 100] and list(packing.portions("", 10)) == [""]
+
+
 def test_best_fit_against_a_plain_search():
     rng = random.Random(1)
     for most_open in (1, 3, 20):
