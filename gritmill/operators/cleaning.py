@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gritmill.functions.columns import col, known, missing, recode
+from gritmill.functions.columns import col, known, recode
 from gritmill.functions.moments_in_time import calendar_parts, durations, parse_timestamp
 from gritmill.functions.rows import rows_from
 from gritmill.operators.joining import BROADCAST_ROWS
@@ -102,54 +102,31 @@ def step_accounting(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataF
     )
 
 
-class StepCounts:
-    """Rows and gaps that pass the steps of a plan, counted while a later write runs through them.
-
-    ``after`` marks a place in the plan; every mark counts in the tasks that do the work anyway, so there is no further job, and steps that are no
-    rule on a single row (de-duplication, reduction to a key, imputation) are counted like filters. Two costs: filters are not pushed through
-    a mark into the scan, as the rows before them are to be counted, and tasks that run again after a lost executor count again.
-    """
-
-    def __init__(self) -> None:
-        self._marks: list[tuple[str, Observation]] = []
-
-    def after(self, df: DataFrame, step: str, gaps_of: Sequence[str] = ()) -> DataFrame:
-        """The same rows. Marks of one name add up, as those of the two parts of a split."""
-        gaps = F.lit(0)
-        for name in gaps_of:
-            gaps = gaps + missing(name, df.schema[name].dataType).cast("long")
-        mark = Observation()
-        self._marks.append((step, mark))
-        return df.observe(mark, F.count(F.lit(1)).alias("n"), F.sum(gaps).alias("gaps"))
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        """``step_no, step, rows_in, rows_out, dropped, gaps``; to be called when the write is done. The first mark is what comes in."""
-        rows: dict[str, int] = {}
-        gaps: dict[str, int] = {}
-        for step, mark in self._marks:
-            found = mark.get
-            rows[step] = rows.get(step, 0) + found["n"]
-            gaps[step] = gaps.get(step, 0) + (found["gaps"] or 0)
-        steps = list(rows)
-        out = [(i, s, rows[b], rows[s], rows[b] - rows[s], gaps[s]) for i, (b, s) in enumerate(zip(steps, steps[1:], strict=False), 1)]
-        return spark.createDataFrame(out, "step_no int, step string, rows_in long, rows_out long, dropped long, gaps long")
-
-
 def drop_copies(df: DataFrame, surrogate: Sequence[str] = ()) -> DataFrame:
     """One row per distinct content. Copies collapse in the map stage, before the shuffle."""
     return df.drop(*surrogate).dropDuplicates()
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str]) -> DataFrame:
+def counted_copies(df: DataFrame, surrogate: Sequence[str], output: str) -> DataFrame:
+    """The rows of ``drop_copies`` with the number of rows that each stands for, from the same shuffle."""
+    plain = df.drop(*surrogate)
+    return plain.groupBy(*[col(c) for c in plain.columns]).agg(F.count(F.lit(1)).alias(output))
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str], totals: Mapping[str, Column] | None = None) -> DataFrame:
     """One row per key: the smallest by the tie-break columns, then by all others.
 
     An aggregate rather than a ranking window: a key that owns a third of the rows is reduced to one row per map task before it is shuffled. Its buffer
     holds whole rows, though, so it sorts them on both sides of the shuffle. ``first_of_rare_copies`` spares that where most keys have one row.
+    ``totals`` are aggregates over all rows of a key; one that is named like a column takes its place.
     """
-    rest = [c for c in df.columns if c not in keys and c not in tie_break]
+    totals = totals or {}
+    rest = [c for c in df.columns if c not in keys and c not in tie_break and c not in totals]
     ordered = [*tie_break, *rest]
-    best = df.groupBy(*[col(k) for k in keys]).agg(F.min(F.struct(*[col(c) for c in ordered])).alias("_row"))
-    return best.select(*[F.col("_row")[c].alias(c) if c in ordered else col(c) for c in df.columns])
+    least = F.min(F.struct(*[col(c) for c in ordered])).alias("_row")
+    best = df.groupBy(*[col(k) for k in keys]).agg(least, *[t.alias(n) for n, t in totals.items()])
+    kept = [c for c in df.columns if c not in totals]
+    return best.select(*[F.col("_row")[c].alias(c) if c in ordered else col(c) for c in kept], *[col(n) for n in totals])
 
 
 def first_of_rare_copies(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str], few: int = BROADCAST_ROWS) -> DataFrame:

@@ -109,36 +109,63 @@ def account(raw: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
 
 
 def clean_incidents(
-    raw: DataFrame, recipe: Recipe = Recipe(), train_percent: int = 80, counts: clean.StepCounts | None = None
+    raw: DataFrame, recipe: Recipe = Recipe(), train_percent: int = 80, ledger: list[tuple[str, int, int, int]] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Cleaned train and test.
 
-    ``counts`` takes in the rows after every step, from the writes that are there anyway; without it the row rules reach the scan.
+    ``ledger`` takes in (step, rows before, rows after, gaps after) of every step. A row carries the number of rows it stands for through
+    de-duplication and reduction to the key, so the written splits tell what these steps dropped, also when tasks ran twice; the row rules take one
+    more scan of the columns they look at.
 
     Row rules come first: they commute with de-duplication, which then shuffles fewer rows. Incidents
     are reduced to one row per natural key before the split, which hashes that key, so no incident is in
     both splits; among its rows the one with the fewest gaps is kept. Medians come from train alone.
     """
-    marked = counts.after if counts else lambda df, *_: df
-    kept = marked(raw, "read")
-    for step, rule in row_rules(raw, recipe):
-        kept = marked(kept.filter(rule), step)
-    distinct = marked(clean.drop_copies(kept, recipe.surrogate), "copies").drop(*recipe.unused)
+    kept = raw
+    for _, rule in row_rules(raw, recipe):
+        kept = kept.filter(rule)
+    counted = ledger is not None
+    distinct = clean.counted_copies(kept, recipe.surrogate, "_raw") if counted else clean.drop_copies(kept, recipe.surrogate)
+    distinct = distinct.drop(*recipe.unused)
     timed = clean.add_durations(clean.add_calendar(distinct, recipe.start, recipe.end), recipe.start, recipe.end)
     named = clean.canonicalise(timed, recipe.wind, dict(recipe.wind_groups))
     gaps = F.lit(0)
     for m in recipe.measures:
         gaps = gaps + missing(m, named.schema[m].dataType).cast("int")
-    one = clean.first_per_key(named.withColumn("_gaps", gaps), recipe.key, ["_gaps"]).drop("_gaps")
-    one = marked(one, "key", recipe.measures)
+    totals = {"_raw": F.sum("_raw"), "_distinct": F.count(F.lit(1))} if counted else {}
+    one = clean.first_per_key(named.withColumn("_gaps", gaps), recipe.key, ["_gaps"], totals).drop("_gaps")
     slim = clean.drop_prefixed(one, recipe.late_prefixes, recipe.late)
     target = clean.binarise(slim, recipe.severity, recipe.high_from, recipe.target)
     train, test = written_key_split(target, recipe.key, train_percent, "cleaned")
+    if counted:
+        before = train.unionByName(test)
+        raw_rows, rows, gaps_left = _sums(before, recipe, F.sum("_raw"), F.sum("_distinct"))
+        after_rules = [(r["step"], r["rows_in"], r["rows_out"], 0) for r in account(raw, recipe).orderBy("step_no").collect()]
+        n = before.count()
+        ledger += [*after_rules, ("copies", raw_rows, rows, 0), ("key", rows, n, gaps_left)]
+        train, test = train.drop("_raw", "_distinct"), test.drop("_raw", "_distinct")
     medians = imputing.fit_group_medians(train, recipe.group, recipe.measures)
     train, test = (imputing.fill_from_medians(part, medians, recipe.group, recipe.measures) for part in (train, test))
     require_same_schema(train, test)
-    train, test = (marked(part, "medians", recipe.measures) for part in (train, test))
-    return materialise(train, "train"), materialise(test, "test")
+    train, test = materialise(train, "train"), materialise(test, "test")
+    if counted:
+        rows, gaps_left = _sums(train.unionByName(test), recipe, F.count(F.lit(1)))
+        ledger.append(("medians", n, rows, gaps_left))
+    return train, test
+
+
+def _sums(df: DataFrame, recipe: Recipe, *sums: Column) -> tuple[int, ...]:
+    """The sums, and the gaps in the measures; 0 for an empty table."""
+    gaps = F.lit(0)
+    for m in recipe.measures:
+        gaps = gaps + missing(m, df.schema[m].dataType).cast("long")
+    return tuple(x or 0 for x in df.agg(*[s.alias(f"s{i}") for i, s in enumerate([*sums, F.sum(gaps)])]).first())
+
+
+def ledger_table(spark: SparkSession, ledger: Sequence[tuple[str, int, int, int]]) -> DataFrame:
+    """``step_no, step, rows_in, rows_out, dropped, gaps`` of the cleaning steps."""
+    rows = [(i, step, before, after, before - after, gaps) for i, (step, before, after, gaps) in enumerate(ledger, 1)]
+    return spark.createDataFrame(rows, "step_no int, step string, rows_in long, rows_out long, dropped long, gaps long")
 
 
 @dataclass(frozen=True)

@@ -84,6 +84,22 @@ def test_rows_are_accounted_for(stored, splits):
     assert train.count() + test.count() == steps["required"]["rows_out"] - 3
 
 
+def test_every_step_is_in_the_ledger(spark, stored, splits):
+    ledger = []
+    again = incidents.clean_incidents(stored, ledger=ledger)
+    for a, b in zip(again, splits, strict=True):
+        assert a.columns == b.columns and a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+    steps = {r["step"]: r for r in incidents.ledger_table(spark, ledger).collect()}
+    assert list(steps) == ["distance", "duration", "wind", "required", "copies", "key", "medians"]
+    rows = [r["rows_in"] for r in steps.values()] + [steps["medians"]["rows_out"]]
+    assert rows[0] == stored.count() and all(r["rows_out"] == after for r, after in zip(steps.values(), rows[1:], strict=True))
+    assert steps["medians"]["rows_out"] == sum(p.count() for p in splits) and steps["copies"]["dropped"] + steps["key"]["dropped"] == 3
+    assert steps["key"]["gaps"] > 0 and steps["medians"]["gaps"] == 0
+    empty = []
+    incidents.clean_incidents(stored.limit(0), ledger=empty)
+    assert [x[1:3] for x in empty] == [(0, 0)] * 7
+
+
 def test_splits_are_clean(splits):
     train, test = splits
     assert train.columns == test.columns and "ID" not in train.columns and "Duration_Seconds" not in train.columns

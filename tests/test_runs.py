@@ -1,4 +1,4 @@
-"""Kept runs, the evaluation of a folder, folds by key, the search and the counts of the cleaning steps."""
+"""Kept runs, the evaluation of a folder, folds by key and the search."""
 
 from __future__ import annotations
 
@@ -12,7 +12,6 @@ from gritmill.operators import features as feat
 from gritmill.operators import runs as kept
 from gritmill.operators import searching as search
 from gritmill.operators import training as fit
-from gritmill.operators.cleaning import StepCounts
 from gritmill.session import fresh_path
 from gritmill.sources import runs
 
@@ -141,16 +140,3 @@ def test_refined_grids_go_around_the_best():
     assert search.refined({"regParam": 0.1, "elasticNetParam": 0.5, "maxIter": 20, "maxDepth": 5}, grid) == {
         "regParam": [0.05, 0.1, 0.2], "elasticNetParam": [0.5], "maxIter": [10, 20, 40], "maxDepth": [5]
     }
-
-
-def test_step_counts_add_no_job_and_see_every_kind_of_step(spark):
-    rows = spark.createDataFrame([(1, 1.0), (1, 1.0), (2, None), (3, 5.0), (4, 9.0)], "k int, v double")
-    counts = StepCounts()
-    df = counts.after(rows, "read", ["v"])
-    df = counts.after(df.filter("v is null or v < 9"), "rule", ["v"])
-    df = counts.after(df.dropDuplicates(), "copies", ["v"])
-    parts = [counts.after(df.filter(c).fillna({"v": 0.0}), "filled", ["v"]) for c in ("k < 2", "k >= 2")]
-    for p in parts:
-        p.write.parquet(fresh_path(spark, "part"))
-    # The second part's write runs through the earlier marks as well, but a mark keeps its first count.
-    assert [tuple(r) for r in counts.table(spark).collect()] == [(1, "rule", 5, 4, 1, 1), (2, "copies", 4, 3, 1, 1), (3, "filled", 3, 3, 0, 0)]
