@@ -35,6 +35,8 @@ from gritmill.session import shared_folder
 RUNGS = ((0.11, 0.2), (0.33, 0.5), (1.0, 1.0))
 KEPT = 1 / 3
 VALIDATION_PERCENT = 25
+#: Fits that are under way at the same time; each is a job of its own on the same cached rows.
+FITS_AT_ONCE = 6
 #: Settings that count iterations or trees.
 EFFORT = ("maxIter", "numTrees")
 #: Two classifiers at a time, the ones tried first in front.
@@ -75,7 +77,7 @@ def climbed(
     grid: Mapping[str, Sequence[object]],
     rungs: Sequence[tuple[float, float]] = RUNGS,
     kept: float = KEPT,
-    parallelism: int = 2,
+    parallelism: int = FITS_AT_ONCE,
 ) -> tuple[dict, list[tuple]]:
     """The best setting of a grid, and ``(settings, rung, row share, effort share, auc, passed)`` for every fit.
 
