@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gritmill.functions.columns import col
+from gritmill.functions.columns import col, hash_percent
 from gritmill.operators import cleaning as clean
 from gritmill.operators import imputing, joining
 from gritmill.operators.exploring import means_per, share_of_all
@@ -463,10 +463,9 @@ IMPUTE_SQL = f"""
 """
 
 
-def imputed_splits(spark, sf):
-    train, test = key_split(lines(spark, sf), ["order_key", "line_no"])
-    medians = imputing.fit_group_medians(train, GROUP, MEASURES)
-    return [imputing.fill_from_medians(part, medians, GROUP, MEASURES) for part in (train, test)]
+def imputed_rows(spark, sf):
+    marked = lines(spark, sf).withColumn("_train", hash_percent(F.col("order_key"), F.col("line_no")) < 80)
+    return imputing.fill_marked(marked, "_train", GROUP, MEASURES)
 
 
 IMPUTED_SQL = f"""
@@ -479,7 +478,7 @@ IMPUTED_SQL = f"""
 
 @query("impute_group_median", IMPUTED_SQL)
 def impute_group_median(spark, sf):
-    return _imputed_sums(*imputed_splits(spark, sf))
+    return _sums_of_marked(imputed_rows(spark, sf).withColumn("split", F.when(F.col("_train"), "train").otherwise("test")))
 
 
 @query("impute_in_buckets", IMPUTED_SQL)
@@ -490,7 +489,10 @@ def impute_in_buckets(spark, sf):
 
 
 def _imputed_sums(train, test):
-    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return _sums_of_marked(train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test"))))
+
+
+def _sums_of_marked(both):
     return both.groupBy("split", "Airport_Code").agg(
         F.count(F.lit(1)).alias("n"), *[F.round(F.sum(col(m)), 3).alias(m) for m in MEASURES]
     )
@@ -506,9 +508,7 @@ def _imputed_sums(train, test):
     """,
 )
 def imputed_means_by_month(spark, sf):
-    train, test = imputed_splits(spark, sf)
-    both = train.withColumn("in_train", F.lit(1)).unionByName(test.withColumn("in_train", F.lit(0)))
-    return means_per(both, ["Month", "in_train"], MEASURES)
+    return means_per(imputed_rows(spark, sf).withColumn("in_train", F.col("_train").cast("int")), ["Month", "in_train"], MEASURES)
 
 
 @query(

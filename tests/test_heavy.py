@@ -233,3 +233,21 @@ def test_plans_index_wide_columns_by_a_table(spark):
         assert sorted(map(tuple, tabled.transform(part).select(*names).collect())) == wanted == sorted(map(tuple, again.transform(part).select(*names).collect()))
     with pytest.raises(ValueError, match="more than 20"):
         feat.fit_features(train, FeaturePlan(target="y", encodings=(Encoding("wide", "string_index_ohe"),)), index_limit=20)
+
+
+@pytest.mark.parametrize("how", [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "rows_per_task": 3}])
+def test_marked_rows_are_filled_alike_on_every_path(spark, how):
+    nan = float("nan")
+    rows = [("a", 1, True, 1.0), ("a", 1, True, 4.0), ("a", 1, False, None), ("a", 1, False, 9.0), ("b", 1, True, nan), ("b", 1, False, None), ("c", 2, True, 2.0), ("c", 2, True, nan)]
+    rows += [(None, 1, True, 5.0), (None, 1, True, None), ("d", None, True, 7.0), ("d", None, False, None), ("e", 3, False, None)]
+    df = spark.createDataFrame(rows, "k string, j int, in_train boolean, x double")
+    got = sorted(map(tuple, imputing.fill_marked(df, "in_train", ["k", "j"], ["x"], **how).select(*df.columns).collect()), key=repr)
+    wanted = [("a", 1, True, 1.0), ("a", 1, True, 4.0), ("a", 1, False, 2.5), ("a", 1, False, 9.0), ("c", 2, True, 2.0), ("c", 2, True, 2.0), (None, 1, True, 5.0), ("d", None, True, 7.0)]
+    assert got == sorted(wanted, key=repr)
+    assert imputing.fill_marked(df.limit(0), "in_train", ["k", "j"], ["x"], **how).count() == 0
+
+
+def test_many_groups_are_filled_from_one_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 100).alias("k"), (F.col("id") % 3 > 0).alias("in_train"), F.when(F.col("id") % 7 > 0, F.col("id").cast("double")).alias("x"))
+    plan = imputing.fill_marked(df, "in_train", ["k"], ["x"], broadcast_rows=0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
