@@ -316,7 +316,7 @@ def feature_gate(spark, sf):
 def pruned_features(spark, sf):
     """A flag that never holds is dropped from both splits, the plan and the feature list."""
     plan = replace(PLAN, flags=(*PLAN.flags, RegexFlag("Street", "is_nothing", "no such word")))
-    train, test, fitted = feat.apply_plan(*written_splits(spark, sf), plan)
+    train, test, fitted = feat.apply_plan(*written_splits(spark, sf, plan.unread()), plan)
     train, test = materialise(train, "train"), materialise(test, "test")
     found = gates.suspicious_flags(gates.engineered_profile(train, "high_severity"), plan.flags)
     (train, test), slim = gates.prune(found, fitted, train, test)

@@ -286,3 +286,53 @@ def test_equal_width_of_a_column_without_values_is_one_bin(spark):
 def test_a_plan_does_not_write_a_column_twice():
     with pytest.raises(ValueError, match="two steps"):
         FeaturePlan(target="y", flags=(RegexFlag("a", "f", "x"), RegexFlag("b", "f", "y")))
+
+
+def test_aggregates_of_wide_profiles_are_compiled(spark):
+    """Spark compiles no aggregate with more than 100 fields in its buffer."""
+    df = spark.range(200).select((F.col("id") % 2).alias("y"), *[(F.col("id") % (i + 2)).cast("double").alias(f"n{i}") for i in range(19)], *[(F.col("id") % (i + 5)).alias(f"c{i}_idx") for i in range(3)])
+    profile = gates.engineered_profile(df, "y")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = profile.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    partial = [line for line in plan.splitlines() if "HashAggregate" in line and "partial_" in line]
+    assert len(partial) == 6 and sum("*(" in line for line in partial) == 3  # the cardinality of an index is never compiled
+    found = {r["column_name"]: r for r in profile.collect()}
+    assert len(found) == 22 and found["n0"]["kind"] == "flag" and found["n0"]["true_ratio"] == 0.5
+    assert found["c2_idx"]["kind"] == "index" and found["c2_idx"]["approx_cardinality"] == 7 and found["n17"]["max"] == 18.0
+
+
+def test_splits_for_a_plan_have_what_it_reads(spark, monkeypatch):
+    from gritmill.workload import featuring, gating
+
+    written = []
+    for module in (featuring, gating):
+        plain = module.written_splits
+        monkeypatch.setattr(module, "written_splits", lambda *a, plain=plain: written.append(plain(*a)) or written[-1])
+    gone = {"End_Time", "Airport_Code", "Country", "Flag_Label", "Humidity(%)", "Pressure(in)", "Visibility(mi)"}
+    assert featuring.PLAN.unread() == gone
+    featuring.vector_slot_names(spark, "/root/testdata/sf0.001")
+    gating.pruned_features(spark, "/root/testdata/sf0.001")
+    assert len(written) == 2 and not any(gone & set(part.columns) for parts in written for part in parts)
+
+
+def test_a_plan_is_built_from_the_splits_it_runs_on(spark, monkeypatch):
+    from gritmill.workload import featuring
+
+    def refused(*args):
+        raise AssertionError("joined once more")
+
+    monkeypatch.setattr(featuring, "written_fact", refused)
+    assert featuring.plan_built_and_applied(spark, "/root/testdata/sf0.001").count() == 2
+
+
+def test_split_documents_are_written_without_texts(spark, monkeypatch):
+    from gritmill.workload import modelling
+
+    written, plain = [], modelling.written_key_split
+    monkeypatch.setattr(modelling, "written_key_split", lambda *a: written.append(a[0].columns) or plain(*a))
+    train, _ = modelling.vectors(spark, "/root/testdata/sf0.001")
+    names = modelling.feat.slot_names(train)
+    assert "text" not in written[0] and {"has_link", "has_digits", "has_noise", "has_license", "n_lines", "n_chars"} <= {*names}
