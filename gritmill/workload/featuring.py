@@ -13,7 +13,7 @@ from gritmill.operators import profiling as prof
 from gritmill.operators.splitting import key_split
 from gritmill.plans.feature_plan import Binning, Encoding, FeaturePlan, Interaction, RegexFlag
 from gritmill.plans.planner import build_plan, plan_rows
-from gritmill.session import fresh_path
+from gritmill.session import fresh_path, materialise
 from gritmill.workload.profiling import CATEGORIES, CATEGORY_SQL, NUMBERS, token_sql
 from gritmill.workload.registry import query
 from gritmill.workload.views import (
@@ -269,7 +269,7 @@ PLAN = FeaturePlan(
 
 
 def planned_splits(spark, sf):
-    return feat.apply_plan(*written_splits(spark, sf), PLAN)
+    return feat.apply_plan(*written_splits(spark, sf, PLAN.unread()), PLAN)
 
 
 PLAN_SQL = f"""
@@ -407,8 +407,7 @@ PLAN_PAIRS = [("Distance(mi)", "Toll", "ratio"), ("Distance(mi)", "Humidity(%)",
 PLAN_CUTS = {"Temperature(F)": (10.0, 25.0), "Absent": (1.0,)}
 
 
-def _planned_rows(spark, sf):
-    source = written_fact(spark, sf)
+def _planned_rows(source):
     categories = prof.category_profile(prof.category_counts(source, CATEGORIES), ["Street"])
     numbers = prof.numeric_profile(source, NUMBERS)
     tokens = {"Street": prof.frequent_tokens(source, "Street")}
@@ -431,21 +430,24 @@ def _planned_rows(spark, sf):
     """,
 )
 def plan_from_profile(spark, sf):
-    return _planned_rows(spark, sf)
+    return _planned_rows(written_fact(spark, sf))
 
 
 @query("plan_built_and_applied")
 def plan_built_and_applied(spark, sf):
     """The plan the rules write, run on both splits: rows, columns and flags per split."""
+    parts = written_splits(spark, sf)
+    # The parts lie in one table, so the profile needs no other join.
+    rows = materialise(_planned_rows(parts[0].unionByName(parts[1])), "plan")
     plan = build_plan(
-        _planned_rows(spark, sf),
+        rows,
         "high_severity",
         ["Severity"],
         rush_hour_from="Start_Time",
         drops=["Start_Time", "End_Time"],
         keys=["order_key", "line_no", "part_key"],
     )
-    train, test, fitted = feat.apply_plan(*written_splits(spark, sf), plan)
+    train, test, fitted = feat.apply_plan(*parts, plan)
     flags = [f.output for f in plan.flags]
     both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
     return both.groupBy("split").agg(
