@@ -48,6 +48,8 @@ GRIDS = {
 def vectors(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Balanced training vectors and untouched test vectors."""
     docs = doc_quality(spark, sf).withColumn("n_lines", F.size(F.split("text", "\n")))
+    # The texts are read once, for the flags; the splits are written, and read, without them.
+    docs = feat.add_flags(docs, DOC_PLAN.flags).drop("text")
     train, test = written_key_split(docs, ["doc_id"], 70, "docs")
     train, test, fitted = feat.apply_plan(train, test, DOC_PLAN)
     ready = [feat.assemble(part, fitted.features, keep=["doc_id", LABEL]) for part in (train, test)]
