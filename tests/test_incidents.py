@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from gritmill.operators import leaking
 from gritmill.operators.runs import evaluate_saved_models
 from gritmill.plans import incidents
 from gritmill.session import fresh_path
@@ -161,3 +162,34 @@ def test_registered_comparison_searches_all_classifiers(spark, monkeypatch):
     for name, default in training.DEFAULT_GRID.items():
         assert all(set(values) <= set(grids[name][setting]) for setting, values in default.items())
         assert len(training.grid_for(training.classifier(name, "label"), grids[name])[0]) >= 2
+
+
+def test_cleaning_shuffles_copies_only_with_their_key(stored, splits, monkeypatch):
+    def refused(*args):
+        raise AssertionError("a shuffle of whole rows that the key's reduction makes needless")
+
+    monkeypatch.setattr(incidents.clean, "drop_copies", refused)
+    for a, b in zip(incidents.clean_incidents(stored), splits, strict=True):
+        assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+
+
+def test_leak_bins_are_searched_for_and_hold_equal_and_infinite_values(spark, monkeypatch):
+    searched = []
+
+    def recording(**settings):
+        searched.extend(settings["inputCols"])
+        return bucketizer(**settings)
+
+    bucketizer = leaking.Bucketizer
+    monkeypatch.setattr(leaking, "Bucketizer", recording)
+    odd = [float("inf"), float("-inf"), 0.0, -0.0, None, float("nan"), 1.0, -1.0]
+    rows = [(odd[i % 8], -0.0 if i % 2 else 0.0, None, i % 3 % 2) for i in range(96)]
+    df = spark.createDataFrame(rows, "odd double, zeros double, nothing double, y int")
+    names = ["odd", "zeros", "nothing"]
+    exact = {r["feature"]: r["auc"] for r in leaking.exact_areas(df, names, "y").collect()}
+    bounds = {r["feature"]: r for r in leaking.area_intervals(df, names, "y", 8).collect()}
+    assert searched
+    for name, auc in exact.items():
+        if auc is not None:
+            assert bounds[name]["low"] - 1e-6 <= auc <= bounds[name]["high"] + 1e-6
+    assert exact["zeros"] == 0.5
