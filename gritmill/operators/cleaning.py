@@ -132,21 +132,31 @@ def first_per_key(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str],
 def first_of_rare_copies(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str], few: int = BROADCAST_ROWS) -> DataFrame:
     """The rows of ``first_per_key``, for a table that is cheap to read twice and in which few keys have several rows.
 
+    Only rows that may share a key are reduced, each key by itself, so the result is exact.
+    """
+    alone, several = apart_by_key(df, keys, few)
+    if several is None:
+        return alone
+    reduced = first_per_key(several, keys, tie_break)
+    return reduced if alone is None else alone.unionByName(reduced)
+
+
+def apart_by_key(df: DataFrame, keys: Sequence[str], few: int = BROADCAST_ROWS) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows that are the only ones of their key, and the others; none of a kind is None.
+
     A first pass reads the keys alone and counts their hashes; only these are shuffled. The hashes of several rows, if no more than ``few``, are
-    broadcast: rows without one stay where they are, the others are reduced. Keys that merely share a hash are reduced each by itself, so the result is exact. With
-    more hashes, all rows go through ``first_per_key``.
+    broadcast: rows without one stay where they are. Keys that merely share a hash are among the others. With more hashes, all rows are.
     """
     place = F.xxhash64(*[col(k) for k in keys])
     shared = materialise(df.groupBy(place.alias("_place")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_place"), "shared_keys")
     n = shared.count()
     if n > few:
-        return first_per_key(df, keys, tie_break)
+        return None, df
     if not n:
-        return df
+        return df, None
     marked = df.withColumn("_place", place)
-    alone = marked.join(F.broadcast(shared), "_place", "left_anti").select(*[col(c) for c in df.columns])
-    several = marked.join(F.broadcast(shared), "_place", "left_semi").select(*[col(c) for c in df.columns])
-    return alone.unionByName(first_per_key(several, keys, tie_break))
+    alone, several = (marked.join(F.broadcast(shared), "_place", how).select(*[col(c) for c in df.columns]) for how in ("left_anti", "left_semi"))
+    return alone, several
 
 
 def copy_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:

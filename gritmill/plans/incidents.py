@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,16 +126,13 @@ def clean_incidents(
     for _, rule in row_rules(raw, recipe):
         kept = kept.filter(rule)
     counted = ledger is not None
-    # Copies are equal in the key as well, so the reduction to the key takes them in; only the ledger has to tell the two apart.
-    distinct = clean.counted_copies(kept, recipe.surrogate, "_raw") if counted else kept.drop(*recipe.surrogate)
-    distinct = distinct.drop(*recipe.unused)
-    timed = clean.add_durations(clean.add_calendar(distinct, recipe.start, recipe.end), recipe.start, recipe.end)
-    named = clean.canonicalise(timed, recipe.wind, dict(recipe.wind_groups))
-    gaps = F.lit(0)
-    for m in recipe.measures:
-        gaps = gaps + missing(m, named.schema[m].dataType).cast("int")
-    totals = {"_raw": F.sum("_raw"), "_distinct": F.count(F.lit(1))} if counted else {}
-    one = clean.first_per_key(named.withColumn("_gaps", gaps), recipe.key, ["_gaps"], totals).drop("_gaps")
+    plain = kept.drop(*recipe.surrogate)
+    if counted:
+        one = _counted_firsts(plain, recipe)
+    else:
+        # Copies are equal in the key as well, so the reduction to the key takes them in; only the ledger has to tell the two apart.
+        one = clean.first_per_key(_prepared(plain, recipe), recipe.key, ["_gaps"])
+    one = one.drop("_gaps")
     slim = clean.drop_prefixed(one, recipe.late_prefixes, recipe.late)
     target = clean.binarise(slim, recipe.severity, recipe.high_from, recipe.target)
     split = hash_percent(*[col(k) for k in recipe.key]) < train_percent
@@ -151,6 +149,36 @@ def clean_incidents(
     return filled.filter("_train").drop("_train"), filled.filter("NOT _train").drop("_train")
 
 
+def _prepared(df: DataFrame, recipe: Recipe) -> DataFrame:
+    """The rows without unused columns, with durations, wind groups and the number of gaps in the measures."""
+    slim = df.drop(*recipe.unused)
+    timed = clean.add_durations(clean.add_calendar(slim, recipe.start, recipe.end), recipe.start, recipe.end)
+    named = clean.canonicalise(timed, recipe.wind, dict(recipe.wind_groups))
+    gaps = F.lit(0)
+    for m in recipe.measures:
+        gaps = gaps + missing(m, named.schema[m].dataType).cast("int")
+    return named.withColumn("_gaps", gaps)
+
+
+def _counted_firsts(plain: DataFrame, recipe: Recipe) -> DataFrame:
+    """One row per key with the number of rows, ``_raw``, and of distinct rows, ``_distinct``, that it stands for.
+
+    The rows are written, so that their keys can be counted first: a row that is alone with its key is no copy either, and is neither shuffled nor
+    sorted. A key that the preparation makes or changes is not known before it: then all rows are shuffled.
+    """
+    written = materialise(plain, "kept")
+    known = all(k in plain.columns and k != recipe.wind for k in recipe.key)
+    alone, several = clean.apart_by_key(written, recipe.key) if known else (None, written)
+    parts = []
+    if alone is not None:
+        one = F.lit(1).cast("long")
+        parts.append(_prepared(alone, recipe).withColumns({"_raw": one, "_distinct": one}))
+    if several is not None:
+        totals = {"_raw": F.sum("_raw"), "_distinct": F.count(F.lit(1))}
+        parts.append(clean.first_per_key(_prepared(clean.counted_copies(several, (), "_raw"), recipe), recipe.key, ["_gaps"], totals))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _sums(df: DataFrame, recipe: Recipe, *sums: Column) -> tuple[int, ...]:
     """The sums, and the gaps in the measures; 0 for an empty table."""
     gaps = F.lit(0)

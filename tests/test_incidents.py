@@ -193,3 +193,20 @@ def test_leak_bins_are_searched_for_and_hold_equal_and_infinite_values(spark, mo
         if auc is not None:
             assert bounds[name]["low"] - 1e-6 <= auc <= bounds[name]["high"] + 1e-6
     assert exact["zeros"] == 0.5
+
+
+def test_ledger_sorts_only_rows_that_share_a_key(stored, splits, monkeypatch):
+    reduced = []
+
+    def recording(df, *how):
+        reduced.append(df.count())
+        return first(df, *how)
+
+    first = incidents.clean.first_per_key
+    monkeypatch.setattr(incidents.clean, "first_per_key", recording)
+    ledger = []
+    again = incidents.clean_incidents(stored, ledger=ledger)
+    rows = {step: after for step, _, after, _ in ledger}
+    assert rows["copies"] >= rows["key"] > sum(reduced)
+    for a, b in zip(again, splits, strict=True):
+        assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
