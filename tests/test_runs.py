@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import threading
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import functions as F
 
@@ -12,6 +16,7 @@ from gritmill.operators import features as feat
 from gritmill.operators import runs as kept
 from gritmill.operators import searching as search
 from gritmill.operators import training as fit
+from gritmill.plans import incidents
 from gritmill.session import fresh_path
 from gritmill.sources import runs
 
@@ -110,6 +115,53 @@ def test_fold_scores_do_not_depend_on_the_partitioning(spark, splits):
     assert scores[0] == scores[1] and len(scores[0]) == 2
 
 
+def test_classifiers_are_fitted_side_by_side_on_even_parts_and_score_as_plain_fits_do(spark, splits, monkeypatch):
+    train, _ = splits
+    grids = {n: SMALL[n] | {"regParam": [0.001, 0.3]} for n in ("LogisticRegression", "LinearSVC")}
+    keys, label = ["k"], "y"
+    plain = {}
+    for name, grid in grids.items():
+        estimator = fit.classifier(name, label)
+        settings, _ = fit.grid_for(estimator, grid)
+        plain[name] = []
+        for setting in settings:
+            areas = []
+            for fold in range(fit.FOLDS):
+                held = fit.fold_of(keys) == fold
+                model = estimator.fit(train.filter(~held), setting)
+                areas.append(BinaryClassificationEvaluator(labelCol=label).evaluate(model.transform(train.filter(held))))
+            plain[name].append(round(sum(areas) / fit.FOLDS, 4))
+
+    together, parts = threading.Barrier(len(grids), timeout=60), []
+    met = {name: threading.Event() for name in grids}
+
+    def watched(name):
+        class Watched(fit.CLASSIFIERS[name]):
+            def fit(self, dataset, params=None):
+                if not met[name].is_set():
+                    met[name].set()
+                    together.wait()  # breaks unless a fit of the other classifier is under way too
+                parts.append(sorted(r["count"] for r in dataset.groupBy(F.spark_partition_id()).count().collect()))
+                return super().fit(dataset, params)
+
+        return Watched
+
+    monkeypatch.setattr(fit, "CLASSIFIERS", {n: watched(n) for n in grids})
+    monkeypatch.setattr(fit, "LEAST_ROWS", 100)
+    fitted = SimpleNamespace(plan=SimpleNamespace(target=label))
+    monkeypatch.setattr(incidents, "vectors_of", lambda ready: (train.coalesce(1).withColumnRenamed("k", "_row"), train))
+    board, _, models = incidents.compare_models(SimpleNamespace(fitted=fitted), grids)
+    assert {n: [a for _, a in m.fold_scores] for n, m in models.items()} == plain
+    assert len(parts) == 2 * (2 * fit.FOLDS + 1) and all(len(p) > 1 and p[-1] <= 2 * p[0] for p in parts)
+    assert board.count() == 2
+
+
+def test_folds_without_rows_are_refused(spark, splits):
+    train, _ = splits
+    with pytest.raises(ValueError, match="empty"):
+        fit.train_classifiers(train.withColumn("k", F.lit(1)), {"LogisticRegression": SMALL["LogisticRegression"]}, "y", fold_keys=["k"])
+
+
 def test_a_search_finds_the_winner_of_the_whole_grid(spark, splits):
     train, test = splits
     grid = {"regParam": [0.001, 0.01, 0.3, 3.0], "elasticNetParam": [0.0, 1.0], "maxIter": [20]}
