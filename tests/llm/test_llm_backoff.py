@@ -79,3 +79,15 @@ def test_nothing_to_learn_from(spark):
     found = backoff.backoff_scores(docs(spark, [(1, "a b")]), F.lit(False)).collect()
     assert [tuple(r) for r in found] == [(1, True, 3, 0, 0, 0.0, 0.0)]
     assert backoff.backoff_scores(spark.createDataFrame([], DOCS), F.lit(True)).count() == 0
+
+
+def test_small_blocks_among_many_shares(spark, monkeypatch):
+    """A block of few words has none in most shares, and still gets the counts of the whole corpus."""
+    monkeypatch.setattr(backoff, "BLOCK_TOKENS", 3)
+    monkeypatch.setattr(backoff, "SHARE_TOKENS", 1)
+    rows = [(i, text) for i, text in enumerate(["a b", "a b c", "", None, "b c a b", "c", "a d", "d d a"])]
+    held = lambda key: key == 5
+    plain = Plain(rows, held)
+    found = backoff.backoff_scores(docs(spark, rows).repartition(2), F.col("doc_id") != 5).collect()
+    for a, b in zip(sorted(map(tuple, found)), sorted(plain.row(k, t, held) for k, t in rows), strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], abs=1e-9)
