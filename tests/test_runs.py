@@ -11,6 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from gritmill.operators import features as feat
 from gritmill.operators import runs as kept
@@ -156,6 +157,45 @@ def test_classifiers_are_fitted_side_by_side_on_even_parts_and_score_as_plain_fi
     assert board.count() == 2
 
 
+def test_fits_wait_for_room_in_memory(spark, splits, monkeypatch):
+    """Where the executors' memory holds one form of the rows, one fit runs at a time, on rows kept on disk; areas and settings stay."""
+    train, _ = splits
+    grids = {n: SMALL[n] | {"regParam": [0.001, 0.3]} for n in ("LogisticRegression", "LinearSVC")}
+    wanted = {n: (t.fold_scores, t.best) for n, t in fit.train_classifiers(train, grids, "y", fold_keys=["k"]).items()}
+    lock, under_way, most, fits = threading.Lock(), [], [], []
+
+    def watched(name):
+        class Watched(fit.CLASSIFIERS[name]):
+            def fit(self, dataset, params=None):
+                with lock:
+                    under_way.append(name)
+                    most.append(len(under_way))
+                try:
+                    return super().fit(dataset, params)
+                finally:
+                    with lock:
+                        under_way.remove(name)
+                        fits.append(name)
+
+        return Watched
+
+    levels, persist = [], type(train).persist
+    monkeypatch.setattr(type(train), "persist", lambda self, level: levels.append(level) or persist(self, level))
+    monkeypatch.setattr(fit, "CLASSIFIERS", {n: watched(n) for n in grids})
+    monkeypatch.setattr(fit, "storage_bytes", lambda spark: 1_000)
+    found = {n: (t.fold_scores, t.best) for n, t in fit.train_classifiers(train, grids, "y", fold_keys=["k"]).items()}
+    assert found == wanted and len(fits) == 2 * (2 * fit.FOLDS + 1) and max(most) == 1
+    assert levels == [StorageLevel.DISK_ONLY]
+
+
+def test_fits_and_parts_are_bounded_by_memory(spark, monkeypatch):
+    assert fit.storage_bytes(spark) > 100 << 20
+    assert [fit.fits_that_fit(1_000, [300, 700], s, 6) for s in (-1, 499_999, 1_000_000, 2_600_000, 10**9)] == [1, 1, 2, 5, 6]
+    monkeypatch.setattr(fit, "MOST_BYTES", 1 << 20)
+    assert fit.dealt(spark.range(50_000), 50_000, 10_000).rdd.getNumPartitions() == 50
+    assert fit.dealt(spark.range(50_000), 50_000, 1).rdd.getNumPartitions() == min(50, spark.sparkContext.defaultParallelism)
+
+
 def test_folds_without_rows_are_refused(spark, splits):
     train, _ = splits
     with pytest.raises(ValueError, match="empty"):
